@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatetally import schemas as S
+from gatetally.functions import cells as C
 from gatetally.functions.rounding import steady_round
-from gatetally.operators.curate import server_requests
+from gatetally.operators.curate import server_requests, with_missing
 from gatetally.operators.logqueries import health_measures
 from gatetally.operators.traffic import Limits, flag_anomalies
 
@@ -54,13 +55,14 @@ def _finish(daily: DataFrame, limits: Limits) -> DataFrame:
     return flag_anomalies(named, limits)
 
 
-def ip_anomalies_live(
+def ip_anomalies_sketched(
     curated: DataFrame, limits: Limits = Limits(), lateness: str = LATENESS, session_error: float = 0.01
 ) -> DataFrame:
     """Anomaly rows of the running day, renewed with every batch (update mode).
 
-    Sessions are counted by a sketch with relative error ``session_error``,
-    because an exact distinct count cannot be updated from bounded state.
+    Sessions are counted by a sketch with relative error ``session_error``, so
+    state is one small row per day and address. For exact counts store
+    :func:`ip_sessions` and read it through :func:`ip_anomalies_of`.
     """
     requests, keys = _by_day(curated, lateness)
     daily = requests.groupBy(*keys).agg(
@@ -73,21 +75,18 @@ def ip_anomalies_live(
     return _finish(daily, limits)
 
 
-def ip_anomalies_closed(curated: DataFrame, limits: Limits = Limits(), lateness: str = LATENESS) -> DataFrame:
-    """Exact anomaly rows of each day once it has closed (append mode).
-
-    Requests are first summed per day, address and session and those sums per
-    day and address, which counts sessions exactly and spreads a busy address
-    over its sessions.
-    """
+def _session_sums(curated: DataFrame, lateness: str) -> DataFrame:
     requests, keys = _by_day(curated, lateness)
-    per_session = requests.groupBy(*keys, "session_id").agg(
+    return requests.groupBy(*keys, "session_id").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("status_code") >= 400).alias("bad"),
         F.sum("latency_ms").alias("time"),
         F.count("latency_ms").alias("timed"),
         F.max("latency_ms").alias("slowest"),
     )
+
+
+def _over_sessions(per_session: DataFrame, limits: Limits) -> DataFrame:
     daily = per_session.groupBy("day", "ip").agg(
         F.sum("n").alias("requests"),
         F.sum("bad").alias("errors"),
@@ -98,15 +97,40 @@ def ip_anomalies_closed(curated: DataFrame, limits: Limits = Limits(), lateness:
     return _finish(daily, limits)
 
 
-def distinct_rows_stream(rows: DataFrame, lateness: str = LATENESS, spread: int = 16) -> DataFrame:
-    """Drop copies of a row that arrive within ``lateness`` of each other.
+def ip_anomalies_closed(curated: DataFrame, limits: Limits = Limits(), lateness: str = LATENESS) -> DataFrame:
+    """Exact anomaly rows of each day once it has closed (append mode).
+
+    Requests are first summed per day, address and session and those sums per
+    day and address, which counts sessions exactly and spreads a busy address
+    over its sessions.
+    """
+    return _over_sessions(_session_sums(curated, lateness), limits)
+
+
+SESSION_KEYS = ["day", "ip", "session_id"]
+
+
+def ip_sessions(curated: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Request sums of the running day per address and session, to be stored
+    with :func:`sinks.upsert_metrics` (update mode)."""
+    return _session_sums(curated, lateness)
+
+
+def ip_anomalies_of(sessions: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Exact anomaly rows from the stored newest sums of :func:`ip_sessions`."""
+    return _over_sessions(sessions, limits)
+
+
+def distinct_rows_stream(raw: DataFrame, lateness: str = LATENESS, spread: int = 16) -> DataFrame:
+    """Raw clickstream without copies that arrive within ``lateness`` of each other.
 
-    ``rows`` are curated, so their time is part of the row and copies share it.
-    Streaming de-duplication sends all copies of a row to one task. Copies are
-    therefore first removed per input partition, in up to ``spread`` groups, and
-    only the survivors of each group meet.
+    Rows are compared by their text, as in the batch form; copies share their
+    time. Streaming de-duplication sends all copies of a row to one task. Copies
+    are therefore first removed per input partition, in up to ``spread`` groups,
+    and only the survivors of each group meet.
     """
-    key = [c for c in S.CLICK_CURATED.fieldNames() if c in rows.columns]
-    salted = rows.withWatermark("event_ts", lateness).withColumn("_part", F.spark_partition_id() % spread)
+    key = S.CLICK_RAW.fieldNames()
+    timed = with_missing(raw, S.CLICK_RAW).select(*key, C.instant(F.col("timestamp")).alias("event_ts"))
+    salted = timed.withWatermark("event_ts", lateness).withColumn("_part", F.spark_partition_id() % spread)
     thinned = salted.dropDuplicatesWithinWatermark([*key, "_part"]).drop("_part")
-    return thinned.dropDuplicatesWithinWatermark(key)
+    return thinned.dropDuplicatesWithinWatermark(key).drop("event_ts")

@@ -388,25 +388,37 @@ def stream_ip_anomalies_closed(spark, sf_dir):
     return _drained(spark, live.ip_anomalies_closed(stages.click_stream(spark, sf_dir)), "stream-days")
 
 
+def _exact_days(spark, stream: DataFrame, path: str, label: str) -> DataFrame:
+    sinks.upsert_metrics(stream, path, scratch_dir(spark, label)).awaitTermination()
+    newest = sinks.latest_metrics(spark, path, stream.schema, live.SESSION_KEYS)
+    return live.ip_anomalies_of(newest)
+
+
 @query
 def stream_ip_anomalies(spark, sf_dir):
-    days = live.ip_anomalies_live(stages.click_stream(spark, sf_dir))
-    path = scratch_dir(spark, "stream-live")
-    sinks.upsert_metrics(days, path, scratch_dir(spark, "stream-live-checkpoint")).awaitTermination()
-    return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"])
+    sessions = live.ip_sessions(stages.click_stream(spark, sf_dir))
+    return _exact_days(spark, sessions, scratch_dir(spark, "stream-live"), "stream-live-checkpoint")
 
 
 @query
 def stream_metric_upsert(spark, sf_dir):
     """The same stream run twice into one table: the rerun changes nothing."""
-    days = live.ip_anomalies_live(stages.click_stream(spark, sf_dir))
+    sessions = live.ip_sessions(stages.click_stream(spark, sf_dir))
     path = scratch_dir(spark, "stream-rerun")
-    for attempt in ("first", "second"):
-        sinks.upsert_metrics(days, path, scratch_dir(spark, f"stream-rerun-{attempt}")).awaitTermination()
-    return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"])
+    _exact_days(spark, sessions, path, "stream-rerun-first")
+    return _exact_days(spark, sessions, path, "stream-rerun-second")
+
+
+@query
+def stream_ip_anomalies_sketched(spark, sf_dir):
+    days = live.ip_anomalies_sketched(stages.click_stream(spark, sf_dir))
+    path = scratch_dir(spark, "stream-sketch")
+    sinks.upsert_metrics(days, path, scratch_dir(spark, "stream-sketch-checkpoint")).awaitTermination()
+    return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"]).drop("sessions")
 
 
 @query
 def stream_dedup(spark, sf_dir):
     distinct = live.distinct_rows_stream(stages.copies_stream(spark, sf_dir))
-    return _shown(_drained(spark, distinct, "stream-distinct"), "event_ts")
+    curated = curate.curate_clickstream(distinct, inputs.TENANT)
+    return _shown(_drained(spark, curated, "stream-distinct"), "event_ts")

@@ -5,7 +5,6 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatetally import schemas as S
 from gatetally.operators import curate
 from gatetally.plans import jobs
 from gatetally.session import scratch_dir
@@ -94,7 +93,5 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate.curate_clickstream(files.stream_clickstream(spark, copies_dir(spark, sf_dir)), inputs.TENANT)
-
-
-RAW_SCHEMAS = {"events": S.CATALOG_RAW, "campaigns": S.CAMPAIGN_RAW, "transactions": S.TX_RAW}
+    """Raw rows with copies as a stream."""
+    return files.stream_clickstream(spark, copies_dir(spark, sf_dir))
