@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatetally import schemas as S
-from gatetally.operators.percentile import exact_percentile, join_nullsafe
+from gatetally.operators.percentile import exact_percentile
 
 PERCENT = 95
 
@@ -43,17 +43,23 @@ def interest_and_revenue(curated: DataFrame) -> DataFrame:
 
 
 def _exact_health(requests: DataFrame, keys: list[str]) -> DataFrame:
-    counts = requests.groupBy(*keys, "latency_ms").agg(
-        F.count("*").alias("n"), F.max("status_code").alias("status")
-    )
-    timed = F.when(F.col("latency_ms").isNotNull(), F.col("n"))
-    totals = counts.groupBy(*keys).agg(
-        F.sum("n").alias("requests"),
-        F.try_divide(F.sum(F.col("latency_ms") * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
-        F.max("status").alias("max_status"),
-    )
-    p95 = exact_percentile(counts, keys, "latency_ms", "n", PERCENT, "p95_latency_ms")
-    return join_nullsafe(totals, p95, keys, "left")
+    """Requests collapse to one row per latency and status before anything else.
+
+    That grouping is used twice, for the cells and for the values of one cell.
+    The status is one of its keys, so that both uses read the same columns and
+    share one scan and one shuffle.
+    """
+    counts = requests.groupBy(*keys, "latency_ms", "status_code").agg(F.count("*").alias("n"))
+    n, latency = F.col("n"), F.col("latency_ms")
+    totals = {
+        "requests": ("sum", n),
+        "time": ("sum", latency * n),
+        "timed": ("sum", F.when(latency.isNotNull(), n)),
+        "max_status": ("max", F.col("status_code")),
+    }
+    found = exact_percentile(counts, keys, "latency_ms", "n", PERCENT, "p95_latency_ms", totals)
+    mean = F.try_divide("time", "timed").alias("avg_latency_ms")
+    return found.select(*keys, "requests", mean, "max_status", "p95_latency_ms")
 
 
 def _quick_health(requests: DataFrame, keys: list[str], accuracy: int) -> DataFrame:
