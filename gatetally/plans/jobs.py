@@ -1,7 +1,9 @@
 """The two batch jobs: raw to curated, and curated to analytics."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from gatetally import schemas as S
@@ -36,8 +38,16 @@ def open_layer(spark: SparkSession, base: str, layer: str, schemas: dict) -> dic
 
 
 def _store(base: str, layer: str, frames: dict[str, DataFrame], replace: str) -> None:
-    for name, df in frames.items():
-        files.write_layer(df, files.layer_path(base, layer, name), S.LAYER_KEYS[name], replace)
+    """Write independent datasets at the same time, so that the small ones do
+    not wait for the large one. The first error is raised once all have ended."""
+
+    def write(name: str) -> None:
+        files.write_layer(frames[name], files.layer_path(base, layer, name), S.LAYER_KEYS[name], replace)
+
+    with ThreadPoolExecutor(len(frames)) as pool:
+        started = [pool.submit(inheritable_thread_target(write), name) for name in frames]
+    for done in started:
+        done.result()
 
 
 def curate_all(spark: SparkSession, base: str, tenant: str, strict: bool = False, replace: str = "all") -> DataFrame:

@@ -23,6 +23,8 @@ def local_session(app: str = "gatetally", cores: int | str = 8, memory: str = "1
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        # Small test layers have many folders: let several tasks write them.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -5,19 +5,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BATCH = "batch_id"
 
 
+def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+    """Run every so often, or once over what is there if no interval is given."""
+    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+
+
 def append_files(
-    df: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = (), once: bool = True
+    df: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = (), every: str | None = None
 ) -> StreamingQuery:
-    """Append to Parquet files, exactly once. ``once`` stops after what is there."""
+    """Append to Parquet files, each row exactly once."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.partitionBy(*keys) if keys else writer
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
-    return writer.start(path)
+    return _triggered(writer, every).start(path)
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -39,11 +43,10 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def upsert_metrics(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def upsert_metrics(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Keep a metric up to date from a stream in update mode."""
     writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
-    return writer.foreachBatch(batch_writer(path)).start()
+    return _triggered(writer, every).foreachBatch(batch_writer(path)).start()
 
 
 def latest_metrics(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
