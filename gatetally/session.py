@@ -15,8 +15,13 @@ SETTINGS = {
 }
 
 
-def local_session(app: str = "gatetally", cores: int | str = 8, memory: str = "12g") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(
+    app: str = "gatetally", cores: int | str = 8, memory: str = "12g", **settings: str
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark.
+
+    Further ``settings`` are given with underscores for dots.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -28,6 +33,8 @@ def local_session(app: str = "gatetally", cores: int | str = 8, memory: str = "1
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    for key, value in settings.items():
+        builder = builder.config(key.replace("_", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -1,0 +1,201 @@
+import random
+
+import pytest
+from conftest import dicts
+
+from gatetally.operators import funnel, interest, joins, logqueries, traffic
+from gatetally.operators.traffic import Limits
+
+
+def visit(session, kind, **more):
+    return {"session_id": session, "event_type": kind, "source": "client"} | more
+
+
+def request(ip="1.1.1.1", **more):
+    return {"event_type": "server_request", "source": "server", "ip": ip, "status_code": 200, "latency_ms": 1.0} | more
+
+
+def test_funnel_counts_sessions_once_per_day(clicks):
+    df = clicks(
+        visit("a", "view_event_list"), visit("a", "view_event_list"), visit("a", "purchase"),
+        visit("b", "view_event_detail"), visit("c", "page_view"), visit("a", "purchase", dt="2024-01-02"),
+        visit(None, "purchase"), visit("d", "purchase", source="server"),
+    )
+    first, second = dicts(funnel.funnel_daily(df))
+    assert first == {
+        "dt": "2024-01-01", "sessions_total": 3, "sessions_event_list": 1, "sessions_event_detail": 1,
+        "sessions_begin_checkout": 0, "sessions_purchase": 1, "conversion_rate": 0.333333, "metric": "funnel",
+    }
+    assert (second["dt"], second["conversion_rate"]) == ("2024-01-02", 1.0)
+
+
+def test_funnel_ignores_order_and_copies(clicks):
+    kinds = ["view_event_list", "view_event_detail", "begin_checkout", "purchase", "click"]
+    dice = random.Random(1)
+    rows = [visit(f"s{dice.randrange(40)}", dice.choice(kinds), dt=f"2024-01-0{dice.randrange(1, 4)}") for _ in range(300)]
+    shuffled = rows + rows[:100]
+    dice.shuffle(shuffled)
+    assert dicts(funnel.funnel_daily(clicks(*rows))) == dicts(funnel.funnel_daily(clicks(*shuffled)))
+
+
+def test_checks_count_days_that_are_not_monotone(clicks):
+    df = clicks(
+        visit("a", "purchase"),
+        visit("b", "view_event_detail", dt="2024-01-02"), visit("b", "begin_checkout", dt="2024-01-02"),
+        visit("b", "purchase", dt="2024-01-02"),
+    )
+    checks = {r["check_name"]: (r["days"], r["violations"]) for r in funnel.funnel_checks(funnel.funnel_daily(df)).collect()}
+    assert checks == {
+        "purchase_le_checkout": (2, 1), "checkout_le_detail": (2, 0), "detail_le_total": (2, 0), "rate_within_0_1": (2, 0),
+    }
+
+
+@pytest.fixture
+def sales(clicks):
+    see = lambda e, **m: visit("a", "view_event_detail", event_id=e, **m)
+    buy = lambda e, amount, **m: visit("a", "purchase", event_id=e, amount=amount, **m)
+    return clicks(
+        see(1), see(1), see(1), buy(1, 10.005), buy(1, None), see(2), see(2), buy(3, 5.0), see(None), buy(None, 9.0),
+        visit("a", "begin_checkout", event_id=4),
+    )
+
+
+def test_rank_zero_fills_both_sides(sales):
+    got = {r["event_id"]: r for r in dicts(interest.event_rank(sales))}
+    assert sorted(got) == [1, 2, 3]
+    assert (got[1]["detail_views"], got[1]["purchases"], got[1]["revenue_total"]) == (3, 2, 10.01)
+    assert [got[e]["interest_to_purchase_ratio"] for e in (1, 2, 3)] == [1.5, 2.0, 0.0]
+    assert (got[2]["revenue_total"], got[3]["detail_views"]) == (0.0, 0)
+
+
+def test_rank_order_and_top(sales):
+    assert [r["event_id"] for r in interest.event_rank(sales).collect()] == [2, 1, 3]
+    assert [r["event_id"] for r in interest.event_rank_top(interest.event_rank(sales, ordered=False), 2).collect()] == [2, 1]
+
+
+def test_one_pass_rank_equals_the_full_join(sales):
+    joined = interest.join_interest(interest.detail_views(sales), interest.event_purchases(sales))
+    one = interest.event_rank(sales, ordered=False)
+    assert joined.schema.fieldNames() == one.schema.fieldNames()
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, one.collect()))
+
+
+@pytest.mark.parametrize(
+    "rows, flag, reason",
+    [
+        ([request(session_id=f"s{i}") for i in range(99)], False, "normal"),
+        ([request(session_id=f"s{i}") for i in range(100)], True, "high_requests"),
+        ([request(session_id=f"s{i}", status_code=400) for i in range(4)], False, "normal"),
+        ([request(session_id=f"s{i}", status_code=400) for i in range(5)], True, "many_errors"),
+        ([request(latency_ms=999.99)], False, "normal"),
+        ([request(latency_ms=1000.0)], True, "high_latency"),
+        ([request(latency_ms=999.996)], True, "high_latency"),
+        ([request(session_id=f"s{i % 2}") for i in range(50)], True, "repetitive_ip"),
+        ([request(session_id=f"s{i % 3}") for i in range(50)], False, "normal"),
+        ([request(session_id="s") for i in range(49)], False, "normal"),
+        ([request() for i in range(50)], True, "repetitive_ip"),
+        ([request(latency_ms=None)], None, "normal"),
+        ([request(latency_ms=None, status_code=500) for i in range(5)], True, "many_errors"),
+        (
+            [request(latency_ms=2000.0, status_code=503) for i in range(100)],
+            True,
+            "high_requests,many_errors,high_latency,repetitive_ip",
+        ),
+    ],
+)
+def test_anomaly_rules_at_their_edges(clicks, rows, flag, reason):
+    (row,) = dicts(traffic.anomalies(clicks(*rows)))
+    assert (row["is_anomaly"], row["reason"], row["purchases"]) == (flag, reason, 0)
+
+
+def test_limits_are_parameters(clicks):
+    (row,) = dicts(traffic.anomalies(clicks(request()), Limits(requests=1)))
+    assert (row["is_anomaly"], row["reason"]) == (True, "high_requests")
+
+
+def test_requests_without_address_are_left_out_of_metrics_but_not_of_q4(clicks):
+    df = clicks(*[request(ip=None) for _ in range(51)], request())
+    assert [r["ip"] for r in traffic.daily_traffic(df).collect()] == ["1.1.1.1"]
+    assert [(r["ip"], r["requests"]) for r in logqueries.suspected_bots(df).collect()] == [(None, 51)]
+
+
+def test_q4_limits_are_strict_and_know_no_errors(clicks):
+    df = clicks(
+        *[request("50", session_id="s") for _ in range(50)], *[request("51", session_id="s") for _ in range(51)],
+        *[request("100", session_id=f"s{i}") for i in range(100)], *[request("101", session_id=f"s{i}") for i in range(101)],
+        *[request("err", session_id=f"s{i}", status_code=500) for i in range(9)],
+        request("1000", latency_ms=1000.0), request("1001", latency_ms=1000.5),
+    )
+    assert {r["ip"] for r in logqueries.suspected_bots(df).collect()} == {"51", "101", "1001"}
+
+
+def test_flagged_rows_are_cut_after_the_busiest(clicks):
+    df = clicks(*[request(f"ip{n}") for n in range(4) for _ in range(50 + n)], request("calm"))
+    top = traffic.anomalies_flagged(traffic.anomalies(df), 2).collect()
+    assert [(r["ip"], r["requests"]) for r in top] == [("ip3", 53), ("ip2", 52)]
+
+
+def test_unflaggable_rows_are_not_published(clicks):
+    assert traffic.anomalies_flagged(traffic.anomalies(clicks(request(latency_ms=None)))).count() == 0
+
+
+def test_endpoint_anomalies_group_by_path(clicks):
+    df = clicks(*[request(request_path="/a", ip=f"{i}", status_code=500) for i in range(5)], request(request_path="/b"))
+    got = {r["request_path"]: r["reason"] for r in traffic.endpoint_anomalies(df).collect()}
+    assert got == {"/a": "many_errors", "/b": "normal"}
+
+
+def test_q2_revenue_is_null_without_amounts(clicks):
+    df = clicks(visit("a", "view_event_detail", event_id=1), visit("a", "purchase", event_id=1, amount=2.5))
+    got = {r["event_type"]: (r["events"], r["revenue_total"]) for r in logqueries.interest_and_revenue(df).collect()}
+    assert got == {"view_event_detail": (1, None), "purchase": (1, 2.5)}
+
+
+def campaign_rows(spark, *rows):
+    return spark.createDataFrame(rows, "utm_campaign string, monthly_cost double")
+
+
+def test_campaign_roi_counts_each_purchase_once(spark, clicks):
+    df = clicks(
+        visit("a", "purchase", utm_campaign="x", amount=30.0), visit("a", "page_view", utm_campaign="x"),
+        visit("a", "purchase", utm_campaign="y", amount=None), visit("a", "purchase", amount=99.0),
+    )
+    costs = campaign_rows(spark, ("x", 10.0), ("x", 10.0), ("z", 5.0))
+    got = {r["utm_campaign"]: r for r in dicts(joins.campaign_roi(df, costs))}
+    assert sorted(got) == ["x", "y"]
+    assert (got["x"]["events"], got["x"]["purchases"], got["x"]["net_revenue"], got["x"]["revenue_per_cost"]) == (2, 1, 10.0, 1.5)
+    assert (got["y"]["revenue_total"], got["y"]["monthly_cost"], got["y"]["revenue_per_cost"]) == (0.0, None, None)
+
+
+def test_free_campaign_has_no_ratio(spark, clicks):
+    df = clicks(visit("a", "purchase", utm_campaign="x", amount=30.0))
+    (row,) = dicts(joins.campaign_roi(df, campaign_rows(spark, ("x", 0.0))))
+    assert (row["net_revenue"], row["revenue_per_cost"]) == (30.0, None)
+
+
+def test_reconciliation_keeps_both_sides(spark, clicks):
+    df = clicks(
+        visit("a", "purchase", event_id=1, amount=5.0), visit("b", "purchase", event_id=1, amount=5.0),
+        visit("b", "purchase", event_id=1, amount=5.0),
+    )
+    booked = spark.createDataFrame(
+        [("a", 1, 5.0), ("b", 1, 5.0), ("c", 2, 7.0)], "session_id string, event_id bigint, amount double"
+    )
+    got = {r["session_id"]: (r["status"], r["click_amount"], r["tx_amount"]) for r in joins.purchase_reconcile(df, booked).collect()}
+    assert got == {"a": ("matched", 5.0, 5.0), "b": ("count_differs", 10.0, 5.0), "c": ("tx_only", 0.0, 7.0)}
+
+
+def test_repeated_catalog_rows_do_not_multiply_the_rank(spark, sales):
+    catalog = spark.createDataFrame(
+        [(1, "B", "c", "k", 2.0), (1, "A", "c", "k", 1.0), (3, "C", "c", "k", 3.0)],
+        "event_id bigint, name string, city string, category string, base_price double",
+    )
+    rank = interest.event_rank(sales, ordered=False)
+    got = {r["event_id"]: r["name"] for r in joins.rank_with_catalog(rank, catalog).collect()}
+    assert got == {1: "A", 2: None, 3: "C"}
+
+
+def test_layer_counts(clicks):
+    df = clicks(request(), request())
+    got = funnel.layer_counts({"all": df, "none": df.limit(0)}).collect()
+    assert {r["layer"]: r["n_rows"] for r in got} == {"all": 2, "none": 0}
