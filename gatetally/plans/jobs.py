@@ -37,15 +37,16 @@ def open_layer(spark: SparkSession, base: str, layer: str, schemas: dict) -> dic
     return {n: files.read_layer(spark, files.layer_path(base, layer, n), s) for n, s in schemas.items()}
 
 
-def _store(base: str, layer: str, frames: dict[str, DataFrame], replace: str) -> None:
+def _store(spark: SparkSession, base: str, layer: str, frames: dict[str, DataFrame], replace: str) -> None:
     """Write independent datasets at the same time, so that the small ones do
     not wait for the large one. The first error is raised once all have ended."""
 
+    @inheritable_thread_target(spark)
     def write(name: str) -> None:
         files.write_layer(frames[name], files.layer_path(base, layer, name), S.LAYER_KEYS[name], replace)
 
     with ThreadPoolExecutor(len(frames)) as pool:
-        started = [pool.submit(inheritable_thread_target(write), name) for name in frames]
+        started = [pool.submit(write, name) for name in frames]
     for done in started:
         done.result()
 
@@ -75,7 +76,7 @@ def curate_all(spark: SparkSession, base: str, tenant: str, strict: bool = False
         "campaigns": curate.curate_campaigns(raw["campaigns"]),
         "transactions": sales,
     }
-    _store(base, "curated", curated, replace)
+    _store(spark, base, "curated", curated, replace)
     return funnel.layer_counts(open_layer(spark, base, "curated", CURATED))
 
 
@@ -92,7 +93,7 @@ def analyse_all(spark: SparkSession, base: str, database: Database | None = None
         "metrics_event_rank": interest.event_rank(clicks, ordered=False),
         "metrics_anomalies": traffic.anomalies(clicks, ordered=False),
     }
-    _store(base, "analytics", metrics, replace)
+    _store(spark, base, "analytics", metrics, replace)
     stored = open_layer(spark, base, "analytics", ANALYTICS)
     if database:
         publish(stored, database)
