@@ -47,7 +47,7 @@ def main() -> None:
         "q3_endpoint": lambda: logqueries.endpoint_health(clicks),
         "q4_suspected_bots": lambda: logqueries.suspected_bots(clicks),
         "tx_drop_orphans": lambda: joins.known_events(sales, catalog),
-        "rank_with_catalog": lambda: joins.rank_with_catalog(interest.event_rank(clicks, ordered=False), catalog),
+        "rank_with_catalog": lambda: joins.with_catalog(interest.event_rank(clicks, ordered=False), catalog),
         "campaign_roi": lambda: joins.campaign_roi(clicks, campaigns),
         "purchase_reconcile": lambda: joins.purchase_reconcile(clicks, sales),
     }

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from gatetally.functions.rounding import steady_round
 from gatetally.operators.curate import client_events, curate_transactions
 
+# Catalog columns shown beside an event.
+SHOWN = ["name", "city", "category", "base_price"]
+
 
 def known_events(transactions: DataFrame, catalog: DataFrame) -> DataFrame:
     """Sales whose event is in the curated catalog."""
@@ -31,19 +34,27 @@ def curate_transactions_strict(raw: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def one_per_event(catalog: DataFrame) -> DataFrame:
     """One row per event: the smallest in name, city, category and price."""
-    shown = ["name", "city", "category", "base_price"]
     return (
         catalog.groupBy("event_id")
-        .agg(F.min(F.struct(*shown)).alias("shown"))
-        .select("event_id", *[F.col(f"shown.{c}").alias(c) for c in shown])
+        .agg(F.min(F.struct(*SHOWN)).alias("shown"))
+        .select("event_id", *[F.col(f"shown.{c}").alias(c) for c in SHOWN])
     )
 
 
-def rank_with_catalog(rank: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Rank rows with the event's name, city, category and price, where known."""
-    return rank.join(one_per_event(catalog), "event_id", "left").select(
-        *rank.columns, "name", "city", "category", "base_price"
-    )
+def with_catalog(df: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Rows with their event's name, city, category and price, where known."""
+    return df.join(one_per_event(catalog), "event_id", "left").select(*df.columns, *SHOWN)
+
+
+def clicks_with_catalog(curated: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Clickstream rows with their event's catalog entry, where there is one.
+
+    Most rows are about no event. Those match nothing, so they stay out of the
+    join instead of meeting as null keys in one task.
+    """
+    about = curated.filter(F.col("event_id").isNotNull())
+    others = curated.filter(F.col("event_id").isNull())
+    return with_catalog(about, catalog).unionByName(others, allowMissingColumns=True)
 
 
 def campaign_cost(campaigns: DataFrame) -> DataFrame:

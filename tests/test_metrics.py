@@ -191,10 +191,20 @@ def test_repeated_catalog_rows_do_not_multiply_the_rank(spark, sales):
         "event_id bigint, name string, city string, category string, base_price double",
     )
     rank = interest.event_rank(sales, ordered=False)
-    got = {r["event_id"]: r["name"] for r in joins.rank_with_catalog(rank, catalog).collect()}
+    got = {r["event_id"]: r["name"] for r in joins.with_catalog(rank, catalog).collect()}
     assert got == {1: "A", 2: None, 3: "C"}
 
 
+def test_clicks_about_no_event_are_kept_beside_the_catalog(spark, clicks):
+    df = clicks(visit("a", "purchase", event_id=1), visit("b", "purchase", event_id=2), visit("c", "page_view"))
+    catalog = spark.createDataFrame(
+        [(1, "A", "c", "k", 1.0)], "event_id bigint, name string, city string, category string, base_price double"
+    )
+    got = joins.clicks_with_catalog(df, catalog)
+    assert got.columns == [*df.columns, *joins.SHOWN]
+    assert {r["session_id"]: r["name"] for r in got.collect()} == {"a": "A", "b": None, "c": None}
+
+
 def test_layer_counts(clicks):
     df = clicks(request(), request())
     got = funnel.layer_counts({"all": df, "none": df.limit(0)}).collect()

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gatetally.operators import attribution, curate, funnel, interest, joins, logqueries, traffic
 from gatetally.plans import jobs
@@ -95,3 +96,30 @@ def test_a_large_dimension_is_not_broadcast(spark, layers):
             df.collect()
     finally:
         spark.conf.set(limit, usual)
+
+
+def test_a_hot_event_is_split_over_tasks(spark):
+    """Two thirds of the sales are of one event, and the catalog is too large to broadcast."""
+    event = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000)
+    sales = spark.range(0, 300000, numPartitions=8).select(event.alias("event_id"), F.sha2(F.col("id").cast("string"), 256))
+    catalog = spark.range(0, 2000).select((F.col("id") % 500).alias("event_id"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    usual = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        for join in (joins.known_events, joins.orphan_sales):
+            df = join(sales, catalog)
+            df.collect()
+            assert "skew=true" in plan_of(df)
+        known, lost = joins.known_events(sales, catalog).count(), joins.orphan_sales(sales, catalog).count()
+        assert known + lost == 300000
+    finally:
+        for k, v in usual.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

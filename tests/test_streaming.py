@@ -134,6 +134,10 @@ def test_running_days_are_exact_and_a_rerun_changes_nothing(spark, inbox, tmp_pa
     same(newest("second"), batch_days(spark, inbox))
     inbox.put(*busy(800, 5, ip="3.3.3.3"))
     same(newest("second"), batch_days(spark, inbox))
+    sinks.compact_metrics(spark, path, str(tmp_path / "compact"), sessions.schema, live.SESSION_KEYS)
+    path = str(tmp_path / "compact")
+    inbox.put(*busy(900, 5, ip="3.3.3.3"))
+    same(newest("second"), batch_days(spark, inbox))
 
 
 def test_sketched_days_lead_to_the_same_flags(spark, inbox, tmp_path):

@@ -202,13 +202,20 @@ _oracle(
     f"SELECT * FROM {RANK} ORDER BY dt, interest_to_purchase_ratio DESC, event_id LIMIT 1000",
 )
 _oracle("sink_types", ["click"], f"SELECT * FROM {RANK}")
+FIRST_ENTRY = """(SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY name, city, category, base_price) AS n FROM catalog)
+  WHERE n = 1)"""
 _oracle(
     "rank_with_catalog",
     ["click", "catalog"],
+    f"SELECT r.*, c.name, c.city, c.category, c.base_price FROM {RANK} r LEFT JOIN {FIRST_ENTRY} c USING (event_id)",
+)
+_oracle(
+    "clicks_with_catalog",
+    ["click", "catalog"],
     f"""
-SELECT r.*, c.name, c.city, c.category, c.base_price FROM {RANK} r LEFT JOIN (
-  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY name, city, category, base_price) AS n FROM catalog) c
-  ON r.event_id = c.event_id AND c.n = 1""",
+SELECT r.dt, r.session_id, r.event_type, r.event_id, r.amount, c.name, c.city, c.category, c.base_price
+FROM click r LEFT JOIN {FIRST_ENTRY} c USING (event_id)""",
 )
 _oracle(
     "campaign_roi",

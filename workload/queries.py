@@ -239,7 +239,13 @@ def tx_orphans(spark, sf_dir):
 @query
 def rank_with_catalog(spark, sf_dir):
     rank = interest.event_rank(stages.clicks(spark, sf_dir), ordered=False)
-    return joins.rank_with_catalog(rank, stages.catalog(spark, sf_dir))
+    return joins.with_catalog(rank, stages.catalog(spark, sf_dir))
+
+
+@query
+def clicks_with_catalog(spark, sf_dir):
+    told = joins.clicks_with_catalog(stages.clicks(spark, sf_dir), stages.catalog(spark, sf_dir))
+    return told.select("dt", "session_id", "event_type", "event_id", "amount", *joins.SHOWN)
 
 
 @query

@@ -1,6 +1,6 @@
 """Derived inputs written once per session to the shared scratch folder."""
 
-from functools import cache
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,46 +27,41 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.options(**keep).csv(path)
 
 
-@cache
-def _raw_base(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
-    base = scratch_dir(spark, "lake")
-    json_lines(spark, sf_dir).write.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
-    tables = {"events": inputs.catalog, "campaigns": inputs.campaigns, "transactions": inputs.transactions}
-    for name, derive in tables.items():
-        _write_csv(derive(spark, sf_dir), files.layer_path(base, "raw", f"business/{name}.csv"))
-    return base
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
+    """Path of a scratch folder that ``write`` has filled in this application."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _WRITTEN:
+        path = scratch_dir(spark, label)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 def raw_base(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the raw layer as files."""
-    return _raw_base(spark.sparkContext.applicationId, sf_dir)
 
+    def write(base: str) -> None:
+        json_lines(spark, sf_dir).write.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
+        tables = {"events": inputs.catalog, "campaigns": inputs.campaigns, "transactions": inputs.transactions}
+        for name, derive in tables.items():
+            _write_csv(derive(spark, sf_dir), files.layer_path(base, "raw", f"business/{name}.csv"))
 
-@cache
-def _curated_base(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
-    base = raw_base(spark, sf_dir)
-    jobs.curate_all(spark, base, inputs.TENANT)
-    return base
+    return _once(spark, sf_dir, "lake", write)
 
 
 def curated_base(spark: SparkSession, sf_dir: str) -> str:
     """The same folder once its curated layer is written."""
-    return _curated_base(spark.sparkContext.applicationId, sf_dir)
-
-
-@cache
-def _copies_dir(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
-    path = scratch_dir(spark, "copies")
-    inputs.clickstream_with_copies(spark, sf_dir).write.json(path)
-    return path
+    base = raw_base(spark, sf_dir)
+    _once(spark, sf_dir, "curated", lambda _: jobs.curate_all(spark, base, inputs.TENANT))
+    return base
 
 
 def copies_dir(spark: SparkSession, sf_dir: str) -> str:
     """JSON Lines of the clickstream with repeated rows."""
-    return _copies_dir(spark.sparkContext.applicationId, sf_dir)
+    return _once(spark, sf_dir, "copies", lambda path: inputs.clickstream_with_copies(spark, sf_dir).write.json(path))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
