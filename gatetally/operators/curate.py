@@ -156,13 +156,11 @@ def web_catalog(raw: DataFrame) -> DataFrame:
     )
 
 
-def ingest_defaults(rows: DataFrame, tenant: str) -> DataFrame:
-    """Fill what a collected browser event lacks.
+def stamped(rows: DataFrame) -> DataFrame:
+    """Fill a missing time and day from ``ingest_ts``, the time of receipt.
 
-    Besides the contract, ``rows`` has ``ingest_ts`` (timestamp of receipt) and
-    the request's ``forwarded_for``, ``peer``, ``agent``, ``referer`` and ``path``.
-    The day is the one written in the event's own ISO time, else the day of
-    receipt; ``ip`` and ``user_agent`` are filled from the request.
+    The day is the one written in the row's own ISO time, whatever its offset,
+    else the day of receipt.
     """
     stamp = F.coalesce(
         C.given(F.col("timestamp")),
@@ -170,13 +168,21 @@ def ingest_defaults(rows: DataFrame, tenant: str) -> DataFrame:
     )
     iso = stamp.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$") & C.instant(stamp).isNotNull()
     own_day = F.when(iso, F.substring(stamp, 1, 10)).otherwise(F.to_date("ingest_ts").cast("string"))
+    return rows.withColumns({"timestamp": stamp, "dt": F.coalesce(C.given(F.col("dt")), own_day)})
+
+
+def ingest_defaults(rows: DataFrame, tenant: str) -> DataFrame:
+    """Fill what a collected browser event lacks.
+
+    Besides the contract, ``rows`` has ``ingest_ts`` and the request's
+    ``forwarded_for``, ``peer``, ``agent``, ``referer`` and ``path``, which give
+    the address, the user agent and the page where the event has none.
+    """
     filled = {
         "student_id": F.coalesce(C.given(F.col("student_id")), F.lit(tenant)),
         "source": F.lit("client"),
-        "timestamp": stamp,
-        "dt": F.coalesce(C.given(F.col("dt")), own_day),
         "page": F.coalesce(C.given(F.col("page")), C.given(F.col("referer")), F.col("path")),
         "ip": F.coalesce(F.col("ip"), C.first_forwarded(F.col("forwarded_for"), F.col("peer"))),
         "user_agent": F.coalesce(F.col("user_agent"), F.col("agent")),
     }
-    return rows.withColumns(filled).select(*S.CLICK_RAW.fieldNames())
+    return stamped(rows).withColumns(filled).select(*S.CLICK_RAW.fieldNames())

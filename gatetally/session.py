@@ -46,6 +46,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A sibling session for streams with one state partition per core.
+
+    A stream keeps its number of state partitions for good and every batch
+    visits all of them, so it is chosen apart from the batch setting.
+    """
+    sibling = use_utc(spark.newSession())
+    sibling.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return sibling
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for ``label`` in the shared folder the cluster names.
 

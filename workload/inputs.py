@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gatetally import schemas as S
 
 TENANT = "t1"
+# Fixed value: the pages of the web site.
 PAGES = ("/", "/events.html", "/event_detail.html", "/checkout.html", "/purchase_ok.html")
 
 

@@ -221,6 +221,12 @@ def client_ip(spark, sf_dir):
     return rows.select("forwarded_for", "peer", ip.alias("client_ip"))
 
 
+@query
+def stamped_rows(spark, sf_dir):
+    rows = inputs.clickstream(spark, sf_dir, keep=("ts",)).withColumnRenamed("e_ts", "ingest_ts")
+    return curate.stamped(rows).select("timestamp", "dt", "source", "page", "ip")
+
+
 # Joins ---------------------------------------------------------------------
 
 
@@ -420,7 +426,7 @@ def stream_ip_anomalies_sketched(spark, sf_dir):
     days = live.ip_anomalies_sketched(stages.click_stream(spark, sf_dir))
     path = scratch_dir(spark, "stream-sketch")
     sinks.upsert_metrics(days, path, scratch_dir(spark, "stream-sketch-checkpoint")).awaitTermination()
-    return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"]).drop("sessions")
+    return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"])
 
 
 @query

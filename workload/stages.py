@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gatetally.operators import curate
 from gatetally.plans import jobs
-from gatetally.session import scratch_dir
+from gatetally.session import scratch_dir, stream_session
 from gatetally.sources import files
 from workload import inputs
 
@@ -84,9 +84,9 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated clickstream as a stream over the raw JSON Lines."""
     path = files.layer_path(raw_base(spark, sf_dir), "raw", "clickstream/derived.jsonl")
-    return curate.curate_clickstream(files.stream_clickstream(spark, path), inputs.TENANT)
+    return curate.curate_clickstream(files.stream_clickstream(stream_session(spark), path), inputs.TENANT)
 
 
 def copies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with copies as a stream."""
-    return files.stream_clickstream(spark, copies_dir(spark, sf_dir))
+    return files.stream_clickstream(stream_session(spark), copies_dir(spark, sf_dir))
