@@ -1,39 +1,46 @@
-"""Run a batch job: ``spark-submit`` this package with ``curate`` or ``analyse``."""
+"""Run a batch job from the command line: ``curate`` or ``analyse``."""
 
 import argparse
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from gatetally.plans import jobs
 from gatetally.session import SETTINGS
 from gatetally.sources.relational import connection_options
 
 
-def main() -> None:
+def parsed(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="gatetally")
     commands = parser.add_subparsers(dest="job", required=True)
-    for name in ("curate", "analyse"):
-        command = commands.add_parser(name)
+    curate, analyse = commands.add_parser("curate"), commands.add_parser("analyse")
+    for command in (curate, analyse):
         command.add_argument("--base", required=True, help="folder holding raw, curated and analytics")
         command.add_argument("--replace", choices=["all", "touched"], default="all")
-    commands.choices["curate"].add_argument("--tenant", required=True)
-    commands.choices["curate"].add_argument("--strict", action="store_true")
-    commands.choices["analyse"].add_argument("--jdbc-url")
-    commands.choices["analyse"].add_argument("--keep-tables", action="store_true")
-    args = parser.parse_args()
+    curate.add_argument("--tenant", required=True)
+    curate.add_argument("--strict", action="store_true", help="also drop copies and sales of unknown events")
+    analyse.add_argument("--jdbc-url", help="publish the metrics to this database as well")
+    analyse.add_argument("--keep-tables", action="store_true", help="refill existing tables")
+    return parser.parse_args(argv)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Run the chosen job and return its row counts."""
+    if args.job == "curate":
+        return jobs.curate_all(spark, args.base, args.tenant, args.strict, args.replace)
+    database = None
+    if args.jdbc_url:
+        database = jobs.Database(args.jdbc_url, connection_options(), args.keep_tables)
+    return jobs.analyse_all(spark, args.base, database, args.replace)
 
+
+def main() -> None:
+    args = parsed()
     builder = SparkSession.builder.appName(f"gatetally-{args.job}")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    if args.job == "curate":
-        counts = jobs.curate_all(spark, args.base, args.tenant, args.strict, args.replace)
-    else:
-        database = None
-        if args.jdbc_url:
-            database = jobs.Database(args.jdbc_url, connection_options(), args.keep_tables)
-        counts = jobs.analyse_all(spark, args.base, database, args.replace)
-    counts.show(truncate=False)
+    run(spark, args).show(truncate=False)
     spark.stop()
 
 

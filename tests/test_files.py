@@ -4,10 +4,11 @@ import pytest
 from conftest import dicts
 from pyspark.sql import functions as F
 
+from gatetally import __main__ as command
 from gatetally import schemas as S
 from gatetally.operators import curate, funnel, interest, traffic
 from gatetally.plans import jobs
-from gatetally.sources import files
+from gatetally.sources import files, relational
 
 
 @pytest.mark.parametrize("base", ["s3a://bucket/prefix", "s3a://bucket/prefix/", "file:/tmp/x/"])
@@ -144,6 +145,31 @@ def test_jobs_from_raw_files_to_metrics(spark, lake):
         assert dicts(df) == dicts(fresh[name].select(*df.columns))
 
 
+def test_command_line_runs_both_jobs(spark, lake):
+    curated = command.run(spark, command.parsed(["curate", "--base", lake, "--tenant", "t1", "--strict"]))
+    assert counts(curated)["clickstream"] == 3
+    analysed = command.run(spark, command.parsed(["analyse", "--base", lake]))
+    assert counts(analysed)["metrics_funnel_daily"] == 1
+    with pytest.raises(SystemExit):
+        command.parsed(["curate", "--base", lake])
+
+
+def test_published_tables_come_from_the_stored_metrics(spark, lake, monkeypatch):
+    sent = {}
+
+    def capture(df, url, table, options, keep_definition):
+        sent[table.name] = (url, options, keep_definition, relational.sink_frame(df, table).collect())
+
+    monkeypatch.setattr(relational, "write_jdbc", capture)
+    jobs.curate_all(spark, lake, "t1")
+    jobs.analyse_all(spark, lake, jobs.Database("jdbc:x", {"user": "u"}, True))
+    assert {name: got[:3] for name, got in sent.items()} == dict.fromkeys(jobs.ANALYTICS, ("jdbc:x", {"user": "u"}, True))
+    (funnel_row,), (rank_row,), (anomaly_row,) = (sent[name][3] for name in jobs.ANALYTICS)
+    assert str(funnel_row["dt"]) == "2024-01-05"
+    assert (rank_row["event_id"], rank_row["revenue_total"], rank_row["interest_to_purchase_ratio"]) == (1, 10.0, 2.0)
+    assert (anomaly_row["reason"], anomaly_row["avg_latency_ms"]) == ("high_latency", 1500.5)
+
+
 def test_a_failed_write_is_reported(spark, lake):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         jobs.analyse_all(spark, lake)

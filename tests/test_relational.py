@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from gatetally import schemas as S
 from gatetally.operators import funnel, interest, traffic
@@ -48,3 +49,15 @@ def test_credentials_come_from_the_environment():
     assert R.connection_options({"METRICS_DB_USER": "u", "METRICS_DB_PASSWORD": "p"}) == {"user": "u", "password": "p"}
     with pytest.raises(KeyError):
         R.connection_options({})
+
+
+def test_column_types_are_types_spark_knows(spark):
+    for table in (R.FUNNEL_TABLE, R.RANK_TABLE, R.ANOMALY_TABLE):
+        assert T.StructType.fromDDL(table.column_types()).fieldNames() == list(table.columns)
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_writing_goes_as_far_as_the_driver(spark, keep):
+    df = spark.createDataFrame([], S.RANK)
+    with pytest.raises(Exception, match="No suitable driver"):
+        R.write_jdbc(df, "jdbc:nothing://nowhere", R.RANK_TABLE, {"user": "u", "password": "p"}, keep)
