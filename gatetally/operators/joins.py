@@ -49,12 +49,15 @@ def with_catalog(df: DataFrame, catalog: DataFrame) -> DataFrame:
 def clicks_with_catalog(curated: DataFrame, catalog: DataFrame) -> DataFrame:
     """Clickstream rows with their event's catalog entry, where there is one.
 
-    Most rows are about no event. Those match nothing, so they stay out of the
-    join instead of meeting as null keys in one task.
+    Most rows are about no event, and null keys would all meet in one task. A
+    second key spreads them by content; it is 0 wherever there is an event, on
+    both sides, so it changes no match.
     """
-    about = curated.filter(F.col("event_id").isNotNull())
-    others = curated.filter(F.col("event_id").isNull())
-    return with_catalog(about, catalog).unionByName(others, allowMissingColumns=True)
+    no_event = F.col("event_id").isNull()
+    by_content = 1 + F.pmod(F.xxhash64("session_id", "ip", "timestamp", "page"), F.lit(4096))
+    left = curated.withColumn("_spread", F.when(no_event, by_content).otherwise(0))
+    right = one_per_event(catalog).withColumn("_spread", F.when(no_event, F.lit(1)).otherwise(0).cast("bigint"))
+    return left.join(right, ["event_id", "_spread"], "left").select(*curated.columns, *SHOWN)
 
 
 def campaign_cost(campaigns: DataFrame) -> DataFrame:

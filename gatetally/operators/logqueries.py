@@ -1,7 +1,8 @@
 """The saved log queries and dashboard tables, over curated clickstream.
 
 Their rules differ from the batch metrics on purpose: the funnel counts only
-the four steps, and suspected bots use strict limits and no error rule.
+the four steps, and suspected bots use strict limits and no error rule. Each
+order is completed by the group's keys, so that ties can be sorted in parallel.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,7 @@ def interest_and_revenue(curated: DataFrame) -> DataFrame:
         .filter(F.col("event_id").isNotNull())
         .groupBy("dt", "event_id", "event_type")
         .agg(F.count("*").alias("events"), F.sum("amount").alias("revenue_total"))
-        .orderBy("dt", F.desc("events"))
+        .orderBy("dt", F.desc("events"), "event_id", "event_type")
     )
 
 
@@ -89,12 +90,12 @@ def endpoint_hourly(curated: DataFrame, exact: bool = True, accuracy: int = 1000
     single shuffle; its rank is off by at most ``1 / accuracy`` of the group.
     """
     binned = curated.withColumn("hour", F.date_trunc("hour", "event_ts"))
-    return _health(binned, ["hour", "request_path"], exact, accuracy).orderBy(F.desc("hour"))
+    return _health(binned, ["hour", "request_path"], exact, accuracy).orderBy(F.desc("hour"), "request_path")
 
 
 def endpoint_health(curated: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Q3 without the hour, busiest path first."""
-    return _health(curated, ["request_path"], exact, accuracy).orderBy(F.desc("requests"))
+    return _health(curated, ["request_path"], exact, accuracy).orderBy(F.desc("requests"), "request_path")
 
 
 def suspected_bots(curated: DataFrame) -> DataFrame:
@@ -116,4 +117,4 @@ def suspected_bots(curated: DataFrame) -> DataFrame:
         | ((F.col("sessions") <= 2) & (F.col("requests") > 50))
         | (F.col("avg_latency_ms") > 1000)
     )
-    return daily.filter(suspect).orderBy(F.desc("requests"))
+    return daily.filter(suspect).orderBy(F.desc("requests"), "dt", "ip")

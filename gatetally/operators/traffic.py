@@ -73,9 +73,13 @@ def flag_anomalies(traffic: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def anomalies(curated: DataFrame, limits: Limits = Limits(), ordered: bool = True) -> DataFrame:
-    """Daily traffic per address with flags, flagged and busiest first."""
+    """Daily traffic per address with flags, flagged and busiest first.
+
+    Day and address complete the order: most rows tie in the first two columns,
+    and rows that tie in all cannot be split between sorting tasks.
+    """
     flagged = flag_anomalies(daily_traffic(curated), limits)
-    return flagged.orderBy(F.desc("is_anomaly"), F.desc("requests")) if ordered else flagged
+    return flagged.orderBy(F.desc("is_anomaly"), F.desc("requests"), "dt", "ip") if ordered else flagged
 
 
 def anomalies_flagged(flagged: DataFrame, n: int = 1000) -> DataFrame:

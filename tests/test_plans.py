@@ -98,6 +98,28 @@ def test_a_large_dimension_is_not_broadcast(spark, layers):
         spark.conf.set(limit, usual)
 
 
+def test_rows_about_no_event_are_spread(spark, layers):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        df = joins.clicks_with_catalog(layers["clickstream"], layers["events"])
+        assert re.search(r"hashpartitioning\(event_id#\d+L, _spread#\d+L", plan_of(df))
+        assert df.count() == layers["clickstream"].count()
+        assert df.filter("name is not null").count() > 0
+    finally:
+        spark.conf.set(limit, usual)
+
+
+@pytest.mark.parametrize("name", ["anomalies", "q2_interest_revenue", "q3_endpoint_hourly", "q3_endpoint", "q4_suspected_bots"])
+def test_sorts_are_by_unique_keys(spark, sf_dir, name):
+    """A sort with many ties would put them all in one task."""
+    df = REGISTRY[name](spark, sf_dir)
+    by = re.search(r"rangepartitioning\((.*?), \d+\)", plan_of(df)).group(1)
+    keys = re.findall(r"(\w+)#\d+L? (?:ASC|DESC)", by)
+    assert df.groupBy(*keys).count().filter("count > 1").count() == 0
+
+
 def test_a_hot_event_is_split_over_tasks(spark):
     """Two thirds of the sales are of one event, and the catalog is too large to broadcast."""
     event = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id") % 1000)
