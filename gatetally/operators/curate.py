@@ -54,7 +54,7 @@ def curate_catalog(raw: DataFrame) -> DataFrame:
         & C.filled(F.col("name"))
         & C.filled(F.col("city"))
         & C.filled(F.col("category"))
-        & C.between_open(F.col("base_price"), 0, 1000)
+        & C.between_open(F.col("base_price"), *S.PRICE_RANGE)
     )
 
 
@@ -69,7 +69,7 @@ def curate_campaigns(raw: DataFrame) -> DataFrame:
     return typed.filter(
         C.filled(F.col("utm_campaign"))
         & C.one_of(F.col("channel"), S.CHANNELS)
-        & C.from_up_to(F.col("monthly_cost"), 0, 100000)
+        & C.from_up_to(F.col("monthly_cost"), *S.COST_RANGE)
     )
 
 
@@ -93,7 +93,7 @@ def curate_transactions(raw: DataFrame) -> DataFrame:
         C.filled(F.col("transaction_id"))
         & C.filled(F.col("session_id"))
         & F.col("event_id").isNotNull()
-        & C.between_open(F.col("amount"), 0, 5000)
+        & C.between_open(F.col("amount"), *S.AMOUNT_RANGE)
         & C.one_of(F.col("payment_method"), S.PAYMENT_METHODS)
     )
 

@@ -12,6 +12,8 @@ from gatetally import schemas as S
 from gatetally.operators.percentile import exact_percentile
 
 PERCENT = 95
+# Above these an address is suspected to be a bot.
+BOT_REQUESTS, BOT_REPEATED, BOT_LATENCY_MS, BOT_FEW_SESSIONS = 100, 50, 1000, 2
 
 
 def _from_browser(curated: DataFrame, kinds: list[str]) -> DataFrame:
@@ -112,9 +114,7 @@ def suspected_bots(curated: DataFrame) -> DataFrame:
             F.avg("latency_ms").alias("avg_latency_ms"),
         )
     )
-    suspect = (
-        (F.col("requests") > 100)
-        | ((F.col("sessions") <= 2) & (F.col("requests") > 50))
-        | (F.col("avg_latency_ms") > 1000)
-    )
+    requests = F.col("requests")
+    repeated = (F.col("sessions") <= BOT_FEW_SESSIONS) & (requests > BOT_REPEATED)
+    suspect = (requests > BOT_REQUESTS) | repeated | (F.col("avg_latency_ms") > BOT_LATENCY_MS)
     return daily.filter(suspect).orderBy(F.desc("requests"), "dt", "ip")

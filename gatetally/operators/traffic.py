@@ -46,6 +46,7 @@ def daily_traffic(curated: DataFrame, key: str = "ip") -> DataFrame:
 def _rules(limits: Limits) -> dict[str, Column]:
     """Label of each rule, in the order the reasons are listed."""
     requests = F.col("requests")
+    # The labels and their order.
     return {
         "high_requests": requests >= limits.requests,
         "many_errors": F.col("errors") >= limits.errors,

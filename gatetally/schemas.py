@@ -46,7 +46,11 @@ TX_RAW = _text(
 )
 PAYMENT_METHODS = ("card", "bizum", "transfer", "cash")
 CHANNELS = ("search", "social", "display", "email", "affiliate", "direct")
-# Funnel step event types, and the names of their columns in the funnel metric.
+# Ranges that prices, monthly costs and sale amounts must be in.
+PRICE_RANGE = (0, 1000)
+COST_RANGE = (0, 100000)
+AMOUNT_RANGE = (0, 5000)
+# Funnel step event types, and the names of their columns in the funnel metric.
 FUNNEL_STEPS = {
     "view_event_list": "event_list",
     "view_event_detail": "event_detail",

@@ -30,7 +30,7 @@ def test_no_python_no_product_no_single_task(spark, sf_dir, name):
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
     if "SinglePartition" in plan:  # only global counts, one row per task
-        assert name in ("layer_counts", "quality_checks")
+        assert name in ("layer_counts", "metric_counts", "quality_checks")
 
 
 def test_curation_needs_no_shuffle(spark, sf_dir):

@@ -268,6 +268,7 @@ SELECT *, {_rounded('CAST(sessions_purchase AS DOUBLE) / sessions_total', 6, 15)
        'funnel' AS metric
 FROM (SELECT dt, count(DISTINCT session_id) AS sessions_total, {COUNTS} FROM {CLIENT} GROUP BY dt))"""
 _oracle("funnel_daily", ["click"], f"SELECT * FROM {FUNNEL} ORDER BY dt")
+_oracle("sink_funnel", ["click"], f"SELECT * EXCLUDE (metric) FROM {FUNNEL}")
 _oracle(
     "quality_checks",
     ["click"],
@@ -317,6 +318,19 @@ _oracle(
     ["click"],
     f"SELECT * FROM {_flagged(_traffic('ip'))} WHERE is_anomaly ORDER BY requests DESC, dt, ip LIMIT 1000",
 )
+_oracle(
+    "sink_anomalies",
+    ["click"],
+    f"SELECT * FROM {_flagged(_traffic('ip'))} WHERE is_anomaly ORDER BY requests DESC, dt, ip LIMIT 1000",
+)
+_oracle(
+    "metric_counts",
+    ["click"],
+    f"""
+SELECT 'metrics_funnel_daily' AS layer, count(*) AS n_rows FROM {FUNNEL}
+UNION ALL SELECT 'metrics_event_rank', count(*) FROM {RANK}
+UNION ALL SELECT 'metrics_anomalies', count(*) FROM {_traffic('ip')}""",
+)
 _oracle("endpoint_anomalies", ["click"], f"SELECT * FROM {_flagged(_traffic('request_path'))}")
 _oracle("dedup_clickstream", ["click_copies"], f"SELECT DISTINCT {CLICK_TEXT} FROM click_copies")
 DISTINCT_COPIES = (

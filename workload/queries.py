@@ -68,11 +68,32 @@ def partition_roundtrip(spark, sf_dir):
     return _shown(files.read_layer(spark, path, S.TX_CURATED), "tx_ts")
 
 
+def _sunk(df: DataFrame, table: relational.Table) -> DataFrame:
+    return relational.sink_frame(df, table).withColumn("dt", F.col("dt").cast("string"))
+
+
 @query
 def sink_types(spark, sf_dir):
     rank = interest.event_rank(stages.clicks(spark, sf_dir), ordered=False)
     exact = rank.withColumn("revenue_total", F.col("revenue_total").cast("decimal(18,2)"))
-    return relational.sink_frame(exact, relational.RANK_TABLE).withColumn("dt", F.col("dt").cast("string"))
+    return _sunk(exact, relational.RANK_TABLE)
+
+
+@query
+def sink_funnel(spark, sf_dir):
+    return _sunk(funnel.funnel_daily(stages.clicks(spark, sf_dir), ordered=False), relational.FUNNEL_TABLE)
+
+
+@query
+def sink_anomalies(spark, sf_dir):
+    flagged = traffic.anomalies_flagged(traffic.anomalies(stages.clicks(spark, sf_dir), ordered=False))
+    return _sunk(flagged, relational.ANOMALY_TABLE)
+
+
+@query
+def metric_counts(spark, sf_dir):
+    """Row counts of the stored metrics, after the second batch job."""
+    return jobs.analyse_all(spark, stages.curated_base(spark, sf_dir))
 
 
 @query
@@ -161,9 +182,9 @@ def _checked(df: DataFrame, label: str, cell: str, check) -> DataFrame:
 def range_checks(spark, sf_dir):
     price, cost, amount = (C.real_number(F.col(c)) for c in ("base_price", "monthly_cost", "amount"))
     return (
-        _checked(inputs.catalog(spark, sf_dir), "price", "base_price", C.between_open(price, 0, 1000))
-        .unionByName(_checked(inputs.campaigns(spark, sf_dir), "cost", "monthly_cost", C.from_up_to(cost, 0, 100000)))
-        .unionByName(_checked(inputs.transactions(spark, sf_dir), "amount", "amount", C.between_open(amount, 0, 5000)))
+        _checked(inputs.catalog(spark, sf_dir), "price", "base_price", C.between_open(price, *S.PRICE_RANGE))
+        .unionByName(_checked(inputs.campaigns(spark, sf_dir), "cost", "monthly_cost", C.from_up_to(cost, *S.COST_RANGE)))
+        .unionByName(_checked(inputs.transactions(spark, sf_dir), "amount", "amount", C.between_open(amount, *S.AMOUNT_RANGE)))
     )
 
 
