@@ -56,13 +56,13 @@ def _finish(daily: DataFrame, limits: Limits) -> DataFrame:
 
 
 def ip_anomalies_sketched(
-    curated: DataFrame, limits: Limits = Limits(), lateness: str = LATENESS, log_size: int = 12
+    curated: DataFrame, limits: Limits = Limits(), lateness: str = LATENESS, log_size: int = 14
 ) -> DataFrame:
     """Anomaly rows of the running day, renewed with every batch (update mode).
 
     Sessions are counted by a sketch of ``2 ** log_size`` cells, so state is one
-    row of bounded size per day and address. Counts of a few hundred are exact,
-    larger ones off by about 1.6 %. For exact counts store :func:`ip_sessions`
+    row of bounded size per day and address. Counts up to about 1,500 are exact,
+    larger ones off by about 0.8 %. For exact counts store :func:`ip_sessions`
     and read it through :func:`ip_anomalies_of`.
     """
     requests, keys = _by_day(curated, lateness)

@@ -425,7 +425,7 @@ _oracle(
     ),
 )
 LIVE = _flagged(_traffic("ip", TIMED.format(""), DAY))
-# The sketched session counts are exact for the few hundred sessions there are per day and address.
+# The sketched session counts are exact for the number of sessions there is per day and address.
 for _name in ("stream_ip_anomalies", "stream_metric_upsert", "stream_ip_anomalies_sketched"):
     _oracle(_name, ["click"], f"SELECT * FROM {LIVE}")
 ORACLES["stream_dedup"] = f"{DISTINCT_COPIES}\nSELECT {CLICK_SHOWN} FROM click"
