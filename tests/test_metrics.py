@@ -163,8 +163,9 @@ def test_campaign_roi_counts_each_purchase_once(spark, clicks):
     costs = campaign_rows(spark, ("x", 10.0), ("x", 10.0), ("z", 5.0))
     got = {r["utm_campaign"]: r for r in dicts(joins.campaign_roi(df, costs))}
     assert sorted(got) == ["x", "y"]
-    assert (got["x"]["events"], got["x"]["purchases"], got["x"]["net_revenue"], got["x"]["revenue_per_cost"]) == (2, 1, 10.0, 1.5)
-    assert (got["y"]["revenue_total"], got["y"]["monthly_cost"], got["y"]["revenue_per_cost"]) == (0.0, None, None)
+    x, y = got["x"], got["y"]
+    assert (x["events"], x["purchases"], x["net_revenue"], x["revenue_per_cost"]) == (2, 1, 10.0, 1.5)
+    assert (y["revenue_total"], y["monthly_cost"], y["revenue_per_cost"]) == (0.0, None, None)
 
 
 def test_free_campaign_has_no_ratio(spark, clicks):
@@ -181,7 +182,8 @@ def test_reconciliation_keeps_both_sides(spark, clicks):
     booked = spark.createDataFrame(
         [("a", 1, 5.0), ("b", 1, 5.0), ("c", 2, 7.0)], "session_id string, event_id bigint, amount double"
     )
-    got = {r["session_id"]: (r["status"], r["click_amount"], r["tx_amount"]) for r in joins.purchase_reconcile(df, booked).collect()}
+    both = joins.purchase_reconcile(df, booked).collect()
+    got = {r["session_id"]: (r["status"], r["click_amount"], r["tx_amount"]) for r in both}
     assert got == {"a": ("matched", 5.0, 5.0), "b": ("count_differs", 10.0, 5.0), "c": ("tx_only", 0.0, 7.0)}
 
 

@@ -111,7 +111,9 @@ def test_rows_about_no_event_are_spread(spark, layers):
         spark.conf.set(limit, usual)
 
 
-@pytest.mark.parametrize("name", ["anomalies", "q2_interest_revenue", "q3_endpoint_hourly", "q3_endpoint", "q4_suspected_bots"])
+@pytest.mark.parametrize(
+    "name", ["anomalies", "q2_interest_revenue", "q3_endpoint_hourly", "q3_endpoint", "q4_suspected_bots"]
+)
 def test_sorts_are_by_unique_keys(spark, sf_dir, name):
     """A sort with many ties would put them all in one task."""
     df = REGISTRY[name](spark, sf_dir)
