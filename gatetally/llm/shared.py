@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,23 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
@@ -39,6 +58,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table ``documents``; the package goes to the executors that will read it."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
