@@ -2,11 +2,13 @@
 
 from gatetally.llm.bpe_counts import op10_token_counts
 from gatetally.llm.quality import op5_quality_rules
+from gatetally.llm.sentencepiece_sa import op1_sentencepiece
 from gatetally.llm.sharding import OP8_SQL, op8_sharding
 from gatetally.llm.token_ids import op9_token_ids
 from gatetally.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_toxicity": op3_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op8_sharding": op8_sharding,
