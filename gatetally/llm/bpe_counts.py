@@ -31,6 +31,8 @@ from gatetally.llm.wordmemo import WordMemo, chunks, sums_by_text
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
+#: Segments whose counts a task remembers (about 150 bytes each).
+REMEMBERED = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -98,7 +100,7 @@ def count_batches(path: str, column: str, out: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = piece_ranks(path)
-        memo = WordMemo(lambda keys: [(token_count(segment_of(k), ranks),) for k in keys])
+        memo = WordMemo(lambda keys: [(token_count(segment_of(k), ranks),) for k in keys], REMEMBERED)
         for batch in batches:
             texts = batch.column(column).to_pylist()
             counts = []
