@@ -1,6 +1,7 @@
 """The queries of this subpackage and the SQL they are compared with."""
 
 from gatetally.llm.bpe_counts import op10_token_counts
+from gatetally.llm.count_rtree import op4_count_rtree
 from gatetally.llm.prefix_free import op2_prefix_free
 from gatetally.llm.quality import op5_quality_rules
 from gatetally.llm.sentencepiece_sa import op1_sentencepiece
@@ -9,6 +10,7 @@ from gatetally.llm.token_ids import op9_token_ids
 from gatetally.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op4_count_rtree": op4_count_rtree,
     "op2_prefix_free": op2_prefix_free,
     "op1_sentencepiece": op1_sentencepiece,
     "op3_toxicity": op3_toxicity,
