@@ -6,7 +6,7 @@ leftmost first among equal ranks) and its two symbols become one. A segment has
 as many tokens as initial symbols minus merges, so no identifier is made. A
 character that is no piece falls back to one symbol for each of its bytes.
 
-Segments repeat, so a task merges each distinct one once and keeps its count, up
+Segments repeat, so a worker merges each distinct one once and keeps its count, up
 to a fixed number of segments (see ``wordmemo``).
 
 Defined results: null and empty texts have no tokens; repeated rows are counted
@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from gatetally.llm.segments import segment_keys, segment_of
 from gatetally.llm.shared import documents, whole_text
-from gatetally.llm.wordmemo import WordMemo, chunks, sums_by_text
+from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-#: Segments whose counts a task remembers (about 150 bytes each).
+#: Segments whose counts a worker remembers (about 150 bytes each).
 REMEMBERED = 1_000_000
 
 
@@ -95,12 +95,23 @@ def token_count(text: str, ranks: dict[str, int]) -> int:
     return initial - merged(text, ranks)[1]
 
 
+@lru_cache(maxsize=1)
+def _memo(path: str) -> WordMemo:
+    """One for each worker process, so that its later tasks find the segments of its earlier ones."""
+    ranks = piece_ranks(path)
+
+    def counts(keys: list[str]) -> list[bytes]:
+        found = [token_count(segment_of(k), ranks) for k in keys]
+        return as_runs(np.array(found), np.ones(len(found), np.int64))
+
+    return WordMemo(counts, REMEMBERED)
+
+
 def count_batches(path: str, column: str, out: str):
     """A function for ``mapInArrow`` that puts token counts in place of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = piece_ranks(path)
-        memo = WordMemo(lambda keys: [(token_count(segment_of(k), ranks),) for k in keys], REMEMBERED)
+        memo = _memo(path)
         for batch in batches:
             texts = batch.column(column).to_pylist()
             counts = []

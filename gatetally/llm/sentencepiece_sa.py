@@ -38,13 +38,13 @@ from pyspark.sql import functions as F
 from gatetally.llm.bpe_counts import MODEL, merged, piece_ranks
 from gatetally.llm.segments import SIGN, segment_keys, segment_of
 from gatetally.llm.shared import documents, whole_text
-from gatetally.llm.wordmemo import WordMemo, chunks, sums_by_text
+from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
 
 #: Characters packed into one 60-bit key, and their width; the codes of a vocabulary must fit.
 _PACK, _BITS = 5, 12
 #: Characters indexed together, and characters of text that a step holds.
 INDEX, CHUNK = 1_500_000, 6_000_000
-#: Segments whose ids a task remembers (about 200 bytes each).
+#: Segments whose ids a worker remembers (about 200 bytes each).
 REMEMBERED = 1_000_000
 
 
@@ -145,8 +145,8 @@ class Vocabulary:
                 self._fits[k >> 3] |= 1 << (k & 7)
         return (self._fits[byte] >> bit) & 1 == 1
 
-    def encode(self, segments: list[str]) -> list[list[int]]:
-        """Ids of each segment."""
+    def encode(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment, as runs of 32-bit numbers."""
         text = "\0".join(segments) + "\0"
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         codes = self.lookup[points].astype(np.int64)
@@ -197,13 +197,11 @@ class Vocabulary:
         behind = np.cumsum(size)
         for i, ids in raw.items():
             out[behind[i] - len(ids) : behind[i]] = ids
-        upto = np.concatenate([[0], np.cumsum(np.bincount(word[ends - 1], size, len(segments)).astype(np.int64))])
-        flat = out.tolist()
-        return [flat[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+        return as_runs(out, np.bincount(word[ends - 1], size, len(segments)).astype(np.int64))
 
-    def encode_keys(self, keys: list[str]) -> list[list[int]]:
+    def encode_keys(self, keys: list[str]) -> list[bytes]:
         """Ids of the segments with these keys, some ``INDEX`` characters at a time."""
-        out: list[list[int]] = []
+        out: list[bytes] = []
         segments = [segment_of(k) for k in keys]
         for a, b in chunks(segments, INDEX):
             out += self.encode(segments[a:b])
@@ -244,11 +242,17 @@ def encode_texts(texts: list[str], memo: WordMemo) -> tuple[np.ndarray, np.ndarr
     return ids, sums_by_text(lengths, counts)
 
 
+@lru_cache(maxsize=1)
+def _memo(path: str) -> WordMemo:
+    """One for each worker process, so that its later tasks find the segments of its earlier ones."""
+    return WordMemo(vocabulary(path).encode_keys, REMEMBERED)
+
+
 def _encode_batches(path: str, key: str):
     """A function for ``mapInArrow``: ids of the texts and whether they decode to the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, decoder = WordMemo(vocabulary(path).encode_keys, REMEMBERED), Decoder(path)
+        memo, decoder = _memo(path), Decoder(path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in chunks(texts, CHUNK):

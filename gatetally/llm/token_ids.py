@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gatetally.llm.shared import documents, shared_folder, whole_text
-from gatetally.llm.wordmemo import WordMemo, chunks, sums_by_text
+from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -41,6 +42,10 @@ END_ID = 2
 SEGMENT_IDS = 1 << 20
 #: Every so many set bits of the high bits, the place of one is stored.
 SAMPLE = 256
+#: Stems that the library encodes in one call, as one line.
+JOINED = 256
+#: Words, and stems, whose ids a worker remembers (about 200 bytes each).
+REMEMBERED = 800_000
 
 SEGMENT_SCHEMA = """part int, segment int, ids_before long, n_docs int, n_ids long, id_bytes int, low_bits int,
     low binary, high binary, samples binary, ids binary, doc_ids array<long>"""
@@ -104,6 +109,8 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Fixed value: how the vocabulary marks the last piece of a word.
+_END = "</w>"
 _MARKS = ".,;:!?%$#&*"
 
 
@@ -115,31 +122,52 @@ def _encoder(path: str):
     the stem followed by those of the marks.
     """
     tokenizer = _tokenizer(path)
-    known: dict[str, list[int]] = {}
+    vocabulary = tokenizer.get_vocab()
+    closing = np.zeros(max(vocabulary.values()) + 1, bool)
+    closing[[i for piece, i in vocabulary.items() if piece.endswith(_END)]] = True
+    known: dict[str, bytes] = {}
 
     def learn(parts: set[str]) -> None:
-        if len(known) > 300_000:
+        if len(known) > REMEMBERED:
             known.clear()
-        new = [p for p in parts if p not in known]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for part, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[part] = found.ids
-
-    def encode(words: list[str]) -> list[list[int]]:
-        parts = []
+        new = parts.difference(known)
+        plain = [p for p in new if p.isalpha() and max(p) <= "ÿ"]
+        for at in range(0, len(plain), 256 * JOINED):
+            some = plain[at : at + 256 * JOINED]
+            lines = [" ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
+            found = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            flat = np.fromiter(chain.from_iterable(f.ids for f in found), np.int32)
+            # Letters alone are one word to the tokenizer, whose last piece is marked.
+            after = np.flatnonzero(closing[flat]) + 1
+            known.update(zip(some, as_runs(flat, np.diff(after, prepend=0)), strict=True))
+        other = list(new.difference(plain))
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            found = [np.array(f.ids, np.int32) for f in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            known.update((word, ids.tobytes()) for word, ids in zip(some, found, strict=True))
+
+    def encode(words: list[str]) -> list[bytes]:
+        stems, tails = [], []
         for word in words:
             stem = word.rstrip(_MARKS)
             if stem.isalnum() and max(stem) <= "ÿ":
-                parts.append((stem.lower(), word[len(stem) :]))
+                stems.append(stem.lower())
+                tails.append(word[len(stem) :])
             else:
-                parts.append((word, ""))
-        learn({p for pair in parts for p in pair} | {""})
-        return [known[a] + known[b] if b else known[a] for a, b in parts]
+                stems.append(word)
+                tails.append("")
+        learn({*stems, *tails})
+        return [known[a] + known[b] for a, b in zip(stems, tails, strict=True)]
 
     return encode
 
 
+@lru_cache(maxsize=1)
+def _memo(path: str) -> WordMemo:
+    """One for each worker process, so that its later tasks find the words of its earlier ones."""
+    return WordMemo(_encoder(path), REMEMBERED)
+
+
 def id_width(path: str) -> int:
     """Bytes that hold any id of the vocabulary and the end id."""
     return 2 if _tokenizer(path).get_vocab_size() <= 1 << 16 else 4
@@ -164,7 +192,7 @@ def write_batches(path: str, end_id: int, segment_ids: int):
     """A function for ``mapInArrow`` from sorted documents to segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, width = WordMemo(_encoder(path)), id_width(path)
+        memo, width = _memo(path), id_width(path)
         part = TaskContext.get().partitionId()
         segment = before = held = 0
         ids: list[np.ndarray] = []

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from itertools import chain
 
 import numpy as np
 
@@ -11,12 +10,12 @@ import numpy as np
 class WordMemo:
     """Maps words to runs of token ids; forgets all words once it holds ``limit``.
 
-    ``encode`` gets a list of distinct words and returns one sequence of ids for
-    each. Runs lie in one flat array, so that the ids of many words are gathered
-    at once.
+    ``encode`` gets a list of distinct words and returns the ids of each as the
+    bytes of 32-bit numbers. Runs lie in one flat array, so that the ids of many
+    words are gathered at once.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]], limit: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
@@ -44,11 +43,11 @@ class WordMemo:
                 self._clear()
                 new = set(words)
             fresh = list(new)
-            runs = list(self.encode(fresh))
-            lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+            runs = self.encode(fresh)
+            lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
             total, first = int(lengths.sum()), len(self.index)
-            self._room("flat", self.used + total)[self.used : self.used + total] = np.fromiter(
-                chain.from_iterable(runs), np.int32, total
+            self._room("flat", self.used + total)[self.used : self.used + total] = np.frombuffer(
+                b"".join(runs), np.int32
             )
             last = first + len(fresh)
             self._room("lengths", last)[first:last] = lengths
@@ -66,6 +65,12 @@ class WordMemo:
         return self.flat[at], lengths
 
 
+def as_runs(flat: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """The ids in ``flat`` as one run for each of the ``lengths``."""
+    raw, ends = flat.astype(np.int32).tobytes(), 4 * np.cumsum(lengths)
+    return [raw[a:b] for a, b in zip((ends - 4 * lengths).tolist(), ends.tolist(), strict=True)]
+
+
 def chunks(texts: Sequence[str], most: int = 2_000_000) -> Iterable[tuple[int, int]]:
     """Runs of texts, as (first, last), of about ``most`` characters or one text each."""
     first = size = 0
