@@ -2,6 +2,7 @@
 
 from gatetally.llm.bpe_counts import op10_token_counts
 from gatetally.llm.count_rtree import op4_count_rtree
+from gatetally.llm.decontaminate import OP7_SQL, op7_decontaminate
 from gatetally.llm.prefix_free import op2_prefix_free
 from gatetally.llm.quality import op5_quality_rules
 from gatetally.llm.sentencepiece_sa import op1_sentencepiece
@@ -10,6 +11,7 @@ from gatetally.llm.token_ids import op9_token_ids
 from gatetally.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op7_decontaminate": op7_decontaminate,
     "op4_count_rtree": op4_count_rtree,
     "op2_prefix_free": op2_prefix_free,
     "op1_sentencepiece": op1_sentencepiece,
@@ -21,5 +23,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op7_decontaminate": OP7_SQL,
     "op8_sharding": OP8_SQL,
 }
