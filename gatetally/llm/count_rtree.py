@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gatetally.llm.bytehash import NOT_SPACE, Hashed, joined, lowered, mixed, runs
@@ -395,16 +395,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_verify_batches(percent), "u long, v long")
 
 
+def row_name() -> tuple[Column, Column]:
+    """A row is named by its doc_id and the checksum of its text, as doc_ids may repeat or be null."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    return doc.alias("doc"), F.crc32(whole_text().cast("binary")).alias("crc")
+
+
 def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc, node, n) and links (u, v) that join their nodes into components."""
+    """Documents (doc, crc, node, n) and links (u, v) that join their nodes into components."""
     spark = docs.sparkSession
-    text = whole_text()
-    # A row is named by its doc_id and the checksum of its text, as doc_ids may repeat or be null.
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
-        F.crc32(text.cast("binary")).alias("crc"),
-        text.alias("text"),
-    )
+    rows = docs.select(*row_name(), whole_text().alias("text"))
     out = "doc long, crc long, node long, n long, point binary, fine binary"
     found = stored(rows.mapInArrow(_set_batches(SKETCH_BITS), out), "sets")
     members = found.where("node is not null")
@@ -433,19 +433,41 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     )
     second = _candidates(shared, stored(joined_nodes, "nodes"), percent, block, False)
     more = stored(_verified(_bounded(second, nodes, percent), texts, percent), "links")
-    return members.select(F.expr(f"nullif(doc, {_LAST})").alias("doc"), "node", "n"), links.unionByName(more)
+    return members.select("doc", "crc", "node", "n"), links.unionByName(more)
+
+
+def _labelled(docs: DataFrame, percent: int, block: int) -> DataFrame:
+    """Rows (doc, crc, n, label): the label of a row's component, null for the empty set."""
+    members, links = similar(docs, percent, block)
+    full = members.where("n > 0").join(components(links), "node", "left")
+    full = full.select("doc", "crc", "n", F.coalesce("label", "node").alias("label"))
+    return full.unionByName(members.where("n = 0").select("doc", "crc", "n", F.lit(None).cast("long").alias("label")))
 
 
 def shingle_components(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text)."""
-    members, links = similar(docs, percent, block)
-    labels = components(links)
-    full = members.where("n > 0").join(labels, "node", "left")
-    label = F.coalesce("label", "node").alias("label")
-    names = full.groupBy(label).agg(F.min("doc").alias("component_id"))
-    linked = full.select("doc", "n", label).join(names, "label").select("doc", "n", "component_id")
-    empty = members.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
-    return linked.unionByName(empty).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    rows = _labelled(docs, percent, block)
+    rows = rows.withColumn("doc", F.expr(f"nullif(doc, {_LAST})"))
+    names = rows.where("label is not null").groupBy("label").agg(F.min("doc").alias("least"))
+    named = rows.join(names, "label", "left")
+    component = F.when(F.col("label").isNull(), F.col("doc")).otherwise(F.col("least"))
+    return named.select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` without all but the first, by doc_id, of each component; all rows without words stay."""
+    rows = stored(_labelled(docs, percent, block), "labels")
+    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc", "crc")).alias("row"))
+    doc, crc = row_name()
+    mine = docs.withColumns({"_doc": doc, "_crc": crc})
+    keys = first.select(F.col("row.doc").alias("_doc"), F.col("row.crc").alias("_crc"), F.lit(False).alias("_empty"))
+    blank = rows.where("label is null").select(F.col("doc").alias("_doc"), F.col("crc").alias("_crc")).distinct()
+    kept = mine.join(keys.unionByName(blank.withColumn("_empty", F.lit(True))), ["_doc", "_crc"])
+    # Of rows that are equal in doc_id and text, one stays.
+    turn = F.row_number().over(Window.partitionBy("_doc", "_crc").orderBy("_empty"))
+    return kept.withColumn("_turn", turn).where("_empty or _turn = 1").select(*docs.columns)
 
 
 def op4_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,13 +176,33 @@ def measure_batches(min_repeat: int, keep: list[str]):
     return run
 
 
-def judged(rows: DataFrame, max_covered: int = MAX_COVERED, max_repeat: int = MAX_REPEAT) -> DataFrame:
+def rules(n_words, n_repeat_words, n_covered, longest_repeat, max_covered: int = MAX_COVERED, max_repeat: int = MAX_REPEAT):
+    """Whether the base rules fail and whether the repetition rule holds, for columns or arrays alike."""
+    failed = (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_WORDS * n_words)
+    return failed, (100 * n_covered <= max_covered * n_words) & (longest_repeat <= max_repeat)
+
+
+_JUDGED = ("n_words", "n_repeat_words", "n_covered", "longest_repeat")
+
+
+def judged(rows: DataFrame) -> DataFrame:
     """Measured ``rows`` with ``base_failed`` and ``kept``."""
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_WORDS * F.col("n_words")
-    )
-    fine = (100 * F.col("n_covered") <= max_covered * F.col("n_words")) & (F.col("longest_repeat") <= max_repeat)
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & fine)
+    failed, fine = rules(*(F.col(c) for c in _JUDGED))
+    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & fine)
+
+
+def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for a, b in chunks(texts):
+            found = dict(zip(_NAMES, measure(texts[a:b]), strict=True))
+            failed, fine = rules(*(found[c] for c in _JUDGED))
+            yield batch.slice(a, b - a).filter(pa.array(~failed & fine))
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns, in one narrow step."""
+    return docs.mapInArrow(_kept_batches, docs.schema)
 
 
 def quality_rules(docs: DataFrame, key: str = "doc_id", min_repeat: int = MIN_REPEAT) -> DataFrame:
