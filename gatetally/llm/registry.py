@@ -3,6 +3,7 @@
 from gatetally.llm.bpe_counts import op10_token_counts
 from gatetally.llm.count_rtree import op4_count_rtree
 from gatetally.llm.decontaminate import OP7_SQL, op7_decontaminate
+from gatetally.llm.language import op6_language
 from gatetally.llm.prefix_free import op2_prefix_free
 from gatetally.llm.quality import op5_quality_rules
 from gatetally.llm.sentencepiece_sa import op1_sentencepiece
@@ -11,6 +12,7 @@ from gatetally.llm.token_ids import op9_token_ids
 from gatetally.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op6_language": op6_language,
     "op7_decontaminate": op7_decontaminate,
     "op4_count_rtree": op4_count_rtree,
     "op2_prefix_free": op2_prefix_free,
