@@ -36,7 +36,7 @@ def main() -> None:
         "funnel_daily": lambda: funnel.funnel_daily(clicks),
         "quality_checks": lambda: funnel.funnel_checks(funnel.funnel_daily(clicks, ordered=False)),
         "event_rank": lambda: interest.event_rank(clicks),
-        "event_rank_top": lambda: interest.event_rank_top(interest.event_rank(clicks, ordered=False)),
+        "event_rank_top": lambda: interest.event_rank_top(interest.event_rank(clicks, ordered=False), 1000),
         "anomalies": lambda: traffic.anomalies(clicks),
         "endpoint_anomalies": lambda: traffic.endpoint_anomalies(clicks),
         "session_attribution": lambda: attribution.session_attribution(clicks),
@@ -46,6 +46,7 @@ def main() -> None:
         "q3_endpoint_hourly_sketched": lambda: logqueries.endpoint_hourly(clicks, exact=False),
         "q3_endpoint": lambda: logqueries.endpoint_health(clicks),
         "q4_suspected_bots": lambda: logqueries.suspected_bots(clicks),
+        "clicks_with_catalog": lambda: joins.clicks_with_catalog(clicks, catalog),
         "tx_drop_orphans": lambda: joins.known_events(sales, catalog),
         "rank_with_catalog": lambda: joins.with_catalog(interest.event_rank(clicks, ordered=False), catalog),
         "campaign_roi": lambda: joins.campaign_roi(clicks, campaigns),

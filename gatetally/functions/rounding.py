@@ -1,9 +1,20 @@
-"""Rounding of floating-point sums that does not depend on summation order."""
+"""Sums and rounding that do not depend on the order of the rows."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def exact_sum(number: Column) -> Column:
+    """The sum, added as decimals of twelve places, so that its order does not matter.
+
+    Where a value has no such decimal (NaN, infinities, 1e16 and more), the
+    group is summed in floating point.
+    """
+    exact = number.try_cast("decimal(28,12)")
+    others = F.count_if(number.isNotNull() & exact.isNull())
+    return F.when(others == 0, F.sum(exact).cast("double")).otherwise(F.sum(number))
+
+
 def steady_round(number: Column, digits: int) -> Column:
     """Round half up to ``digits`` places, ignoring noise below 1e-9.
 

@@ -38,10 +38,13 @@ def session_attribution(curated: DataFrame, slice_unit: str = "minute") -> DataF
     A session may hold a third of all events, so its history is cut into time
     slices: state runs inside each slice, and the state at the end of earlier
     slices is carried in from one summary row per slice. A task sorts one slice
-    of events or one session's slices, never all events of a session.
+    of events or one session's slices, never all events of a session. Events
+    without a time have their own values only and take no part in the windows.
     """
     evidence = _evidence()
-    events = client_events(curated).withColumns({**evidence, SLICE: F.date_trunc(slice_unit, TIME)})
+    browsed = client_events(curated)
+    timed = browsed.filter(F.col(TIME).isNotNull())
+    events = timed.withColumns({**evidence, SLICE: F.date_trunc(slice_unit, TIME)})
 
     inside = (
         Window.partitionBy(SESSION, SLICE)
@@ -51,13 +54,20 @@ def session_attribution(curated: DataFrame, slice_unit: str = "minute") -> DataF
     local = events.withColumns({name: _kept(name).over(inside) for name in evidence})
 
     before = Window.partitionBy(SESSION).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    ends = events.filter(F.col(SLICE).isNotNull()).groupBy(SESSION, SLICE).agg(*[_kept(n).alias(n) for n in evidence])
+    ends = events.groupBy(SESSION, SLICE).agg(*[_kept(n).alias(n) for n in evidence])
     carried = ends.select(SESSION, SLICE, *[_kept(n).over(before).alias(f"{n}_in") for n in evidence])
 
     joined = local.join(carried, [SESSION, SLICE], "left")
-    return joined.select(
+    with_time = joined.select(
         *curated.columns,
-        F.coalesce(F.greatest("_utm", "_utm_in")["text"], F.col("utm_campaign")).alias("attr_campaign"),
-        F.coalesce(F.least("_ref", "_ref_in")["text"], F.col("referrer")).alias("attr_referrer"),
+        F.greatest("_utm", "_utm_in")["text"].alias("attr_campaign"),
+        F.least("_ref", "_ref_in")["text"].alias("attr_referrer"),
         F.least("_since", "_since_in").alias("first_seen_ts"),
     )
+    without = browsed.filter(F.col(TIME).isNull()).select(
+        *curated.columns,
+        F.col("utm_campaign").alias("attr_campaign"),
+        F.col("referrer").alias("attr_referrer"),
+        F.lit(None).cast(curated.schema[TIME].dataType).alias("first_seen_ts"),
+    )
+    return with_time.unionByName(without)

@@ -123,13 +123,15 @@ def server_requests(df: DataFrame) -> DataFrame:
 
 
 def retained(df: DataFrame, days: int, as_of: str) -> DataFrame:
-    """Rows of the last ``days`` days up to ``as_of`` (``YYYY-MM-DD``).
+    """Rows of the last ``days`` days up to and including ``as_of`` (``YYYY-MM-DD``).
 
-    The bound is a literal on the partition key, so older folders are not read.
-    Text day keys that are no date sort after every date and are kept.
+    Both bounds are literals on the partition key, so other folders are not
+    read. The age of a row whose key is missing or no ISO date cannot be told:
+    such rows are kept.
     """
-    bound = F.date_sub(F.lit(as_of).cast("date"), days).cast("string")
-    return df.filter(F.col("dt") >= bound)
+    first = F.date_sub(F.lit(as_of).cast("date"), days).cast("string")
+    dated = F.coalesce(F.col("dt").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False))
+    return df.filter((F.col("dt") >= first) & (F.col("dt") <= as_of) | ~dated)
 
 
 def web_catalog(raw: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatetally.functions.rounding import steady_round
+from gatetally.functions.rounding import exact_sum, steady_round
 from gatetally.operators.curate import client_events
 
 KEYS = ["dt", "event_id"]
@@ -11,7 +11,7 @@ VIEW, SALE = "view_event_detail", "purchase"
 
 
 def _revenue(amount: Column) -> Column:
-    return steady_round(F.sum(F.coalesce(amount, F.lit(0.0))), 2)
+    return steady_round(exact_sum(F.coalesce(amount, F.lit(0.0))), 2)
 
 
 def _about_events(curated: DataFrame, *kinds: str) -> DataFrame:
@@ -69,6 +69,6 @@ def join_interest(views: DataFrame, purchases: DataFrame) -> DataFrame:
     return _with_ratio(both.fillna({"detail_views": 0, "purchases": 0, "revenue_total": 0.0}))
 
 
-def event_rank_top(rank: DataFrame, n: int = 1000) -> DataFrame:
-    """The first ``n`` rows in rank order, so the earliest days come first."""
+def event_rank_top(rank: DataFrame, n: int) -> DataFrame:
+    """A report of the first ``n`` rows in rank order, so the earliest days come first."""
     return rank.orderBy(*rank_order()).limit(n)

@@ -10,7 +10,7 @@ splits skewed partitions otherwise.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatetally.functions.rounding import steady_round
+from gatetally.functions.rounding import exact_sum, steady_round
 from gatetally.operators.curate import client_events, curate_transactions
 
 # Catalog columns shown beside an event.
@@ -62,14 +62,16 @@ def clicks_with_catalog(curated: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def campaign_cost(campaigns: DataFrame) -> DataFrame:
     """One row per campaign key with the summed monthly cost."""
-    return campaigns.groupBy("utm_campaign").agg(steady_round(F.sum("monthly_cost"), 2).alias("monthly_cost"))
+    return campaigns.groupBy("utm_campaign").agg(steady_round(exact_sum(F.col("monthly_cost")), 2).alias("monthly_cost"))
 
 
 def campaign_roi(curated: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Browser events, purchases and revenue per campaign against its cost.
 
-    Campaigns seen in the clickstream but not among the curated campaigns are
-    kept with a null cost. ``revenue_per_cost`` is null without a cost.
+    A full outer join: campaigns of the clickstream that are not among the
+    curated ones have a null cost, campaigns without traffic have zeros.
+    ``revenue_per_cost`` is null without a cost. The cost is that of one month and
+    the events are those given: pass the rows of a month for its return.
     """
     bought = F.col("event_type") == "purchase"
     earned = (
@@ -79,12 +81,14 @@ def campaign_roi(curated: DataFrame, campaigns: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("events"),
             F.count_if(bought).alias("purchases"),
-            steady_round(F.sum(F.when(bought, F.coalesce("amount", F.lit(0.0))).otherwise(0.0)), 2).alias(
+            steady_round(exact_sum(F.when(bought, F.coalesce("amount", F.lit(0.0))).otherwise(0.0)), 2).alias(
                 "revenue_total"
             ),
         )
     )
-    joined = earned.join(campaign_cost(campaigns), "utm_campaign", "left")
+    joined = earned.join(campaign_cost(campaigns), "utm_campaign", "full").fillna(
+        {"events": 0, "purchases": 0, "revenue_total": 0.0}
+    )
     return joined.select(
         "*",
         steady_round(F.col("revenue_total") - F.col("monthly_cost"), 2).alias("net_revenue"),
@@ -96,7 +100,8 @@ def purchase_reconcile(curated: DataFrame, transactions: DataFrame) -> DataFrame
     """Purchases seen in the browser against booked sales, per session and event.
 
     A full outer join of the two aggregated sides: nothing is dropped, and
-    ``status`` tells which side a row was found on.
+    ``status`` tells which side a row was found on, or else whether counts and
+    amounts agree; ``amount_difference`` is browser less booked.
     """
     keys = ["session_id", "event_id"]
     clicks = (
@@ -105,17 +110,19 @@ def purchase_reconcile(curated: DataFrame, transactions: DataFrame) -> DataFrame
         .groupBy(keys)
         .agg(
             F.count("*").alias("click_purchases"),
-            steady_round(F.sum(F.coalesce("amount", F.lit(0.0))), 2).alias("click_amount"),
+            steady_round(exact_sum(F.coalesce("amount", F.lit(0.0))), 2).alias("click_amount"),
         )
     )
     booked = transactions.groupBy(keys).agg(
-        F.count("*").alias("tx_count"), steady_round(F.sum("amount"), 2).alias("tx_amount")
+        F.count("*").alias("tx_count"), steady_round(exact_sum(F.col("amount")), 2).alias("tx_amount")
     )
+    difference = steady_round(F.col("click_amount") - F.col("tx_amount"), 2)
     status = (
         F.when(F.col("tx_count") == 0, "click_only")
         .when(F.col("click_purchases") == 0, "tx_only")
-        .when(F.col("click_purchases") == F.col("tx_count"), "matched")
-        .otherwise("count_differs")
+        .when(F.col("click_purchases") != F.col("tx_count"), "count_differs")
+        .when(difference != 0, "amount_differs")
+        .otherwise("matched")
     )
     zeros = {"click_purchases": 0, "click_amount": 0.0, "tx_count": 0, "tx_amount": 0.0}
-    return clicks.join(booked, keys, "full").fillna(zeros).withColumn("status", status)
+    return clicks.join(booked, keys, "full").fillna(zeros).withColumns({"amount_difference": difference, "status": status})

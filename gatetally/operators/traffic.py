@@ -83,9 +83,14 @@ def anomalies(curated: DataFrame, limits: Limits = Limits(), ordered: bool = Tru
     return flagged.orderBy(F.desc("is_anomaly"), F.desc("requests"), "dt", "ip") if ordered else flagged
 
 
-def anomalies_flagged(flagged: DataFrame, n: int = 1000) -> DataFrame:
-    """The ``n`` busiest flagged rows; day and address break ties."""
-    return flagged.filter("is_anomaly").orderBy(F.desc("requests"), "dt", "ip").limit(n)
+def flagged_rows(flagged: DataFrame) -> DataFrame:
+    """All flagged rows."""
+    return flagged.filter("is_anomaly")
+
+
+def anomalies_flagged(flagged: DataFrame, n: int) -> DataFrame:
+    """A report of the ``n`` busiest flagged rows; day and address break ties."""
+    return flagged_rows(flagged).orderBy(F.desc("requests"), "dt", "ip").limit(n)
 
 
 def endpoint_anomalies(curated: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -101,11 +101,11 @@ def analyse_all(spark: SparkSession, base: str, database: Database | None = None
 
 
 def publish(stored: dict[str, DataFrame], database: Database) -> None:
-    """All funnel days, the first 1000 rank rows and 1000 flagged anomalies."""
+    """All funnel days, all ranks and all flagged anomalies."""
     tables = [
         (relational.FUNNEL_TABLE, stored["metrics_funnel_daily"]),
-        (relational.RANK_TABLE, interest.event_rank_top(stored["metrics_event_rank"])),
-        (relational.ANOMALY_TABLE, traffic.anomalies_flagged(stored["metrics_anomalies"])),
+        (relational.RANK_TABLE, stored["metrics_event_rank"]),
+        (relational.ANOMALY_TABLE, traffic.flagged_rows(stored["metrics_anomalies"])),
     ]
     for table, df in tables:
         relational.write_jdbc(df, database.url, table, database.options, database.keep_definition)

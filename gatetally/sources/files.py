@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatetally import schemas as S
+from gatetally.operators.curate import with_missing
 
 
 def layer_path(base: str, layer: str, name: str) -> str:
@@ -32,12 +33,15 @@ def stream_clickstream(spark: SparkSession, path: str, files_per_batch: int | No
     return reader.json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header as text columns; an empty cell is null.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV as text columns taken by their names in the header; an empty cell is null.
 
-    Fields may hold quoted line breaks as the generator's writer quotes them.
+    Columns may come in any order, others are left out, missing ones are null;
+    the files of one path share a header. A record is one line unless
+    ``multi_line``, which reads quoted line breaks but cannot split a file.
     """
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return with_missing(reader.csv(path), schema).select(*schema.fieldNames())
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gatetally import schemas as S
 from gatetally.functions import cells as C
-from gatetally.functions.rounding import steady_round
+from gatetally.functions.rounding import exact_sum, steady_round
 from gatetally.operators import curate, joins
 
 CLICK = {"student_id": "t1", "timestamp": "2024-01-05T23:30:00.125Z", "dt": "2024-01-05", "source": "client"}
@@ -206,6 +206,23 @@ def test_retention_reads_recent_days_only(clicks):
     assert [r["dt"] for r in curate.retained(df, 14, "2024-01-31").collect()] == ["2024-01-17", "2024-01-31"]
 
 
+def test_retention_keeps_keys_that_are_no_date(clicks):
+    df = clicks(*({"dt": d} for d in ("10-04-2024", "2023/12/01", "unknown", None, "2024-02-20", "2023-12-01")))
+    kept = [r["dt"] for r in curate.retained(df, 14, "2024-01-31").collect()]
+    assert kept == ["10-04-2024", "2023/12/01", "unknown", None]
+
+
+@pytest.mark.parametrize("partitions", [3, 7, 13])
+def test_money_sums_do_not_depend_on_partitions(spark, partitions):
+    df = spark.range(200_000).select((F.col("id") * 7.13 + 999_999.1).alias("x")).repartition(partitions)
+    total = df.agg(exact_sum(F.col("x")).alias("s")).first()["s"]
+    once = spark.range(200_000, numPartitions=1).select((F.col("id") * 7.13 + 999_999.1).alias("x"))
+    assert total == once.agg(exact_sum(F.col("x"))).first()[0]
+    assert math.isclose(total, math.fsum(r["x"] for r in once.collect()), rel_tol=1e-13)
+    nan = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    assert math.isnan(nan.agg(exact_sum(F.col("x"))).first()[0])
+
+
 @pytest.mark.parametrize(
     "number, digits, rounded",
     [(1.005, 2, 1.01), (2.125, 2, 2.13), (1.0049999999999999, 2, 1.01), (-1.005, 2, -1.01), (0.1 + 0.2, 2, 0.3),

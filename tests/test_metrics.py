@@ -136,7 +136,7 @@ def test_flagged_rows_are_cut_after_the_busiest(clicks):
 
 
 def test_unflaggable_rows_are_not_published(clicks):
-    assert traffic.anomalies_flagged(traffic.anomalies(clicks(request(latency_ms=None)))).count() == 0
+    assert traffic.flagged_rows(traffic.anomalies(clicks(request(latency_ms=None)))).count() == 0
 
 
 def test_endpoint_anomalies_group_by_path(clicks):
@@ -162,8 +162,9 @@ def test_campaign_roi_counts_each_purchase_once(spark, clicks):
     )
     costs = campaign_rows(spark, ("x", 10.0), ("x", 10.0), ("z", 5.0))
     got = {r["utm_campaign"]: r for r in dicts(joins.campaign_roi(df, costs))}
-    assert sorted(got) == ["x", "y"]
-    x, y = got["x"], got["y"]
+    assert sorted(got) == ["x", "y", "z"]
+    x, y, z = got["x"], got["y"], got["z"]
+    assert (z["events"], z["revenue_total"], z["net_revenue"], z["revenue_per_cost"]) == (0, 0.0, -5.0, 0.0)
     assert (x["events"], x["purchases"], x["net_revenue"], x["revenue_per_cost"]) == (2, 1, 10.0, 1.5)
     assert (y["revenue_total"], y["monthly_cost"], y["revenue_per_cost"]) == (0.0, None, None)
 
@@ -182,9 +183,11 @@ def test_reconciliation_keeps_both_sides(spark, clicks):
     booked = spark.createDataFrame(
         [("a", 1, 5.0), ("b", 1, 5.0), ("c", 2, 7.0)], "session_id string, event_id bigint, amount double"
     )
+    df = df.unionByName(clicks(visit("d", "purchase", event_id=1, amount=4.0)))
+    booked = booked.union(spark.createDataFrame([("d", 1, 5.5)], "session_id string, event_id long, amount double"))
     both = joins.purchase_reconcile(df, booked).collect()
     got = {r["session_id"]: (r["status"], r["click_amount"], r["tx_amount"]) for r in both}
-    assert got == {"a": ("matched", 5.0, 5.0), "b": ("count_differs", 10.0, 5.0), "c": ("tx_only", 0.0, 7.0)}
+    assert got == {"a": ("matched", 5.0, 5.0), "b": ("count_differs", 10.0, 5.0), "c": ("tx_only", 0.0, 7.0), "d": ("amount_differs", 4.0, 5.5)}
 
 
 def test_repeated_catalog_rows_do_not_multiply_the_rank(spark, sales):

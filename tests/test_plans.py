@@ -78,7 +78,7 @@ def test_exact_percentile_scans_once(layers):
 
 
 def test_top_rows_need_no_full_sort(layers):
-    plan = plan_of(interest.event_rank_top(interest.event_rank(layers["clickstream"], ordered=False)))
+    plan = plan_of(interest.event_rank_top(interest.event_rank(layers["clickstream"], ordered=False), 1000))
     assert "TakeOrderedAndProject" in plan
 
 

@@ -56,7 +56,11 @@ WHERE is_active = '1' AND trim(name) <> '' AND trim(city) <> '' AND trim(categor
 _oracle(
     "retention",
     ["click"],
-    "SELECT dt, session_id, event_type, source, event_id, ip FROM click WHERE dt >= '2024-01-17'",
+    """
+SELECT * FROM (
+  SELECT CASE event_id WHEN 7 THEN '10-04-2024' WHEN 8 THEN '2023/12/01' ELSE dt END AS dt,
+         session_id, event_type, source, event_id, ip FROM click)
+WHERE dt BETWEEN '2024-01-11' AND '2024-01-25' OR dt IS NULL OR NOT regexp_full_match(dt, '[0-9]{4}-[0-9]{2}-[0-9]{2}')""",
 )
 
 # Projections, filters and casts
@@ -231,24 +235,28 @@ _oracle(
 SELECT utm_campaign, events, purchases, revenue_total, monthly_cost,
        {_rounded('revenue_total - monthly_cost', 2)} AS net_revenue,
        {_rounded('revenue_total / NULLIF(monthly_cost, 0)', 6)} AS revenue_per_cost
-FROM (SELECT utm_campaign, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
-             {_rounded("COALESCE(sum(amount) FILTER (event_type = 'purchase'), 0)", 2)} AS revenue_total
-      FROM {CLIENT} WHERE utm_campaign IS NOT NULL GROUP BY utm_campaign)
-LEFT JOIN (SELECT utm_campaign, {_rounded('sum(monthly_cost)', 2)} AS monthly_cost FROM campaign GROUP BY 1)
-  USING (utm_campaign)""",
+FROM (SELECT utm_campaign, COALESCE(events, 0) AS events, COALESCE(purchases, 0) AS purchases,
+             COALESCE(revenue_total, 0.0) AS revenue_total, monthly_cost
+      FROM (SELECT utm_campaign, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
+                   {_rounded("COALESCE(sum(amount) FILTER (event_type = 'purchase'), 0)", 2)} AS revenue_total
+            FROM {CLIENT} WHERE utm_campaign IS NOT NULL GROUP BY utm_campaign)
+      FULL JOIN (SELECT utm_campaign, {_rounded('sum(monthly_cost)', 2)} AS monthly_cost FROM campaign GROUP BY 1)
+        USING (utm_campaign))""",
 )
 _oracle(
     "purchase_reconcile",
     ["click", "tx"],
     f"""
 SELECT *, CASE WHEN tx_count = 0 THEN 'click_only' WHEN click_purchases = 0 THEN 'tx_only'
-               WHEN tx_count = click_purchases THEN 'matched' ELSE 'count_differs' END AS status
-FROM (SELECT session_id, event_id, sum(c)::BIGINT AS click_purchases, {_rounded('sum(ca)', 2)} AS click_amount,
-             sum(t)::BIGINT AS tx_count, {_rounded('sum(ta)', 2)} AS tx_amount
-      FROM (SELECT session_id, event_id, 1 AS c, COALESCE(amount, 0) AS ca, 0 AS t, 0.0::DOUBLE AS ta FROM {CLIENT}
-            WHERE event_type = 'purchase' AND event_id IS NOT NULL
-            UNION ALL SELECT session_id, event_id, 0, 0, 1, amount FROM tx)
-      GROUP BY session_id, event_id)""",
+               WHEN tx_count <> click_purchases THEN 'count_differs'
+               WHEN amount_difference <> 0 THEN 'amount_differs' ELSE 'matched' END AS status
+FROM (SELECT *, {_rounded('click_amount - tx_amount', 2)} AS amount_difference
+      FROM (SELECT session_id, event_id, sum(c)::BIGINT AS click_purchases, {_rounded('sum(ca)', 2)} AS click_amount,
+                   sum(t)::BIGINT AS tx_count, {_rounded('sum(ta)', 2)} AS tx_amount
+            FROM (SELECT session_id, event_id, 1 AS c, COALESCE(amount, 0) AS ca, 0 AS t, 0.0::DOUBLE AS ta FROM {CLIENT}
+                  WHERE event_type = 'purchase' AND event_id IS NOT NULL
+                  UNION ALL SELECT session_id, event_id, 0, 0, 1, amount FROM tx)
+            GROUP BY session_id, event_id))""",
 )
 
 # Metrics
@@ -321,7 +329,7 @@ _oracle(
 _oracle(
     "sink_anomalies",
     ["click"],
-    f"SELECT * FROM {_flagged(_traffic('ip'))} WHERE is_anomaly ORDER BY requests DESC, dt, ip LIMIT 1000",
+    f"SELECT * FROM {_flagged(_traffic('ip'))} WHERE is_anomaly",
 )
 _oracle(
     "metric_counts",
