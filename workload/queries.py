@@ -16,7 +16,7 @@ from gatetally.operators import attribution, curate, funnel, interest, joins, lo
 from gatetally.plans import jobs
 from gatetally.session import scratch_dir, use_utc
 from gatetally.sources import files, relational
-from gatetally.streaming import live, sinks
+from gatetally.streaming import additive, live, sinks
 from workload import inputs, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,25 +424,24 @@ def stream_ip_anomalies_closed(spark, sf_dir):
     return _drained(spark, live.ip_anomalies_closed(stages.click_stream(spark, sf_dir)), "stream-days")
 
 
-def _exact_days(spark, stream: DataFrame, path: str, label: str) -> DataFrame:
-    sinks.upsert_metrics(stream, path, scratch_dir(spark, label)).awaitTermination()
-    newest = sinks.latest_metrics(spark, path, stream.schema, live.SESSION_KEYS)
-    return live.ip_anomalies_of(newest)
-
-
 @query
 def stream_ip_anomalies(spark, sf_dir):
-    sessions = live.ip_sessions(stages.click_stream(spark, sf_dir))
-    return _exact_days(spark, sessions, scratch_dir(spark, "stream-live"), "stream-live-checkpoint")
+    """Over several batches; late and untimed rows count as in batch."""
+    path = scratch_dir(spark, "stream-live")
+    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    additive.store_session_sums(stream, path, scratch_dir(spark, "stream-live-checkpoint")).awaitTermination()
+    return additive.ip_anomalies(spark, path)
 
 
 @query
 def stream_metric_upsert(spark, sf_dir):
-    """The same stream run twice into one table: the rerun changes nothing."""
-    sessions = live.ip_sessions(stages.click_stream(spark, sf_dir))
+    """Stored twice into one table, in batches of other sizes: the second run replaces the first."""
     path = scratch_dir(spark, "stream-rerun")
-    _exact_days(spark, sessions, path, "stream-rerun-first")
-    return _exact_days(spark, sessions, path, "stream-rerun-second")
+    for run, size in enumerate((3, 8)):
+        stream = stages.click_stream(spark, sf_dir, files_per_batch=size)
+        checkpoint = scratch_dir(spark, f"stream-rerun-{run}")
+        additive.store_session_sums(stream, path, checkpoint, run).awaitTermination()
+    return additive.ip_anomalies(spark, path)
 
 
 @query
@@ -455,6 +454,8 @@ def stream_ip_anomalies_sketched(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    distinct = live.distinct_rows_stream(stages.copies_stream(spark, sf_dir))
-    curated = curate.curate_clickstream(distinct, inputs.TENANT)
-    return _shown(_drained(spark, curated, "stream-distinct"), "event_ts")
+    """Copies in different batches, with and without a time."""
+    path = scratch_dir(spark, "stream-distinct")
+    stream = stages.copies_stream(spark, sf_dir, files_per_batch=2)
+    additive.store_distinct_rows(stream, path, scratch_dir(spark, "stream-distinct-checkpoint")).awaitTermination()
+    return _shown(curate.curate_clickstream(additive.distinct_rows(spark, path), inputs.TENANT), "event_ts")

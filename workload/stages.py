@@ -44,7 +44,7 @@ def raw_base(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the raw layer as files."""
 
     def write(base: str) -> None:
-        json_lines(spark, sf_dir).write.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
+        json_lines(spark, sf_dir).repartition(8).write.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
         tables = {"events": inputs.catalog, "campaigns": inputs.campaigns, "transactions": inputs.transactions}
         for name, derive in tables.items():
             _write_csv(derive(spark, sf_dir), files.layer_path(base, "raw", f"business/{name}.csv"))
@@ -61,7 +61,7 @@ def curated_base(spark: SparkSession, sf_dir: str) -> str:
 
 def copies_dir(spark: SparkSession, sf_dir: str) -> str:
     """JSON Lines of the clickstream with repeated rows."""
-    return _once(spark, sf_dir, "copies", lambda path: inputs.clickstream_with_copies(spark, sf_dir).write.json(path))
+    return _once(spark, sf_dir, "copies", lambda path: inputs.clickstream_with_copies(spark, sf_dir).repartition(6).write.json(path))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,12 +81,12 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.curate_campaigns(inputs.campaigns(spark, sf_dir))
 
 
-def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """Curated clickstream as a stream over the raw JSON Lines."""
     path = files.layer_path(raw_base(spark, sf_dir), "raw", "clickstream/derived.jsonl")
-    return curate.curate_clickstream(files.stream_clickstream(stream_session(spark), path), inputs.TENANT)
+    return curate.curate_clickstream(files.stream_clickstream(stream_session(spark), path, files_per_batch), inputs.TENANT)
 
 
-def copies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def copies_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """Raw rows with copies as a stream."""
-    return files.stream_clickstream(stream_session(spark), copies_dir(spark, sf_dir))
+    return files.stream_clickstream(stream_session(spark), copies_dir(spark, sf_dir), files_per_batch)
