@@ -1,7 +1,6 @@
 """Session settings the library relies on, and shared scratch folders."""
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,12 +59,9 @@ def stream_session(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for ``label`` in the shared folder the cluster names.
 
-    The shared folder is ``spark.checkpoint.dir``. Only a ``local`` session may
-    do without it; its scratch goes to a fresh temporary folder.
+    The shared folder is ``spark.checkpoint.dir``.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="gatetally-")
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")

@@ -14,10 +14,11 @@ from gatetally.functions import cells as C
 from gatetally.functions.rounding import steady_round
 from gatetally.operators import attribution, curate, funnel, interest, joins, logqueries, traffic
 from gatetally.plans import jobs
-from gatetally.session import scratch_dir, use_utc
+from gatetally.session import use_utc
 from gatetally.sources import files, relational
 from gatetally.streaming import additive, live, sinks
 from workload import inputs, stages
+from workload.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from gatetally.operators import curate
 from gatetally.plans import jobs
-from gatetally.session import scratch_dir, stream_session
+from gatetally.session import stream_session
 from gatetally.sources import files
 from workload import inputs
+from workload.scratch import scratch_dir
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
