@@ -16,10 +16,12 @@ component.
    the overlap. Each bucket is an R-tree over its points whose boxes hold the
    largest counts and the range of set sizes; a join of the tree with itself
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
-4. Round one takes for each node the best partner in each bucket, round two
-   all pairs that pass in different components of round one's links: in a group of
-   thousands of near copies most pairs are already joined by then. Survivors are
-   bounded again by ``FINE`` groups, then verified on their texts.
+4. Round one takes for each node the best partner in each bucket and bounds it
+   again by ``FINE`` groups. Round two, over the nodes that have a partner and with
+   ``FINE`` groups in the tree, takes all pairs that pass in different components
+   of round one's links: in a group of thousands of near copies most pairs are
+   joined by then, and the finer bound leaves out most that do not link. All are
+   verified on their texts.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks: round one looks into
 each block, round two into each pair of blocks, as separate rows of the shuffle.
@@ -52,7 +54,7 @@ WORDS, PERCENT = 4, 85
 #: Groups of the points in the tree, and of the finer points (a multiple).
 GROUPS, FINE = 64, 256
 #: Rows of a bucket that may meet in one task, entries of a box, characters taken at once.
-BLOCK, FAN, CHUNK = 4000, 32, 4_000_000
+BLOCK, FAN, CHUNK = 4000, 32, 1_500_000
 #: Buckets of the frequency table; those above this many times the mean count as frequent.
 SKETCH_BITS, FREQUENT = 20, 4
 
@@ -248,10 +250,10 @@ def _shared_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class Bucket:
     """Rows of one or many buckets, sorted by bucket."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, groups: int):
         get = lambda c: table.column(c).to_numpy()
         self.node, self.n, self.label, self.part = (get(c) for c in ("node", "n", "label", "part"))
-        self.points = unpacked(table.column("point").to_pylist(), GROUPS)
+        self.points = unpacked(table.column("point").to_pylist(), groups)
         token, lo, hi = (get(c) for c in ("token", "lo", "hi"))
         self.apart = lo != hi
         new = np.ones(len(token), bool)
@@ -283,11 +285,11 @@ class Bucket:
                     yield i + first, j + first, bound
 
 
-def _candidate_batches(best_only: bool, percent: int):
+def _candidate_batches(best_only: bool, percent: int, groups: int):
     """A function for ``mapInArrow`` over rows sorted by bucket: candidate pairs of nodes."""
 
     def found(table: pa.Table) -> pa.RecordBatch:
-        rows = Bucket(table)
+        rows = Bucket(table, groups)
         parts = [x for x in rows.pairs(percent) if len(x[0])]
         none = np.zeros(0, np.int64)
         i, j, bound = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (none, none, none)
@@ -364,7 +366,9 @@ def _verify_batches(percent: int):
     return run
 
 
-def _candidates(shared: DataFrame, nodes: DataFrame, percent: int, block: int, best_only: bool) -> DataFrame:
+def _candidates(
+    shared: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, best_only: bool
+) -> DataFrame:
     """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound."""
     rows = shared.join(nodes, "node")
     crowd = rows.groupBy("token").agg(
@@ -381,7 +385,7 @@ def _candidates(shared: DataFrame, nodes: DataFrame, percent: int, block: int, b
     columns = ["token", "lo", "hi", "part", "node", "n", "label", "point"]
     keys = ["token", "lo", "hi"]
     in_order = dealt.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return in_order.mapInArrow(_candidate_batches(best_only, percent), "u long, v long").distinct()
+    return in_order.mapInArrow(_candidate_batches(best_only, percent, groups), "u long, v long").distinct()
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -419,7 +423,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
         F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")
     )
     alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
-    first = _candidates(shared, alone, percent, block, True)
+    first = _candidates(shared, alone, percent, block, GROUPS, True)
     first = stored(_bounded(first, nodes, percent), "pairs")
     # Every node with a partner that passes is in a pair of round one; only those need their texts.
     used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
@@ -429,10 +433,10 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     links = stored(_verified(first, texts, percent), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
-        "node", "n", "point", F.coalesce("label", "node").alias("label")
+        "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
     )
-    second = _candidates(shared, stored(joined_nodes, "nodes"), percent, block, False)
-    more = stored(_verified(_bounded(second, nodes, percent), texts, percent), "links")
+    second = _candidates(shared, stored(joined_nodes, "nodes"), percent, block, FINE, False)
+    more = stored(_verified(second, texts, percent), "links")
     return members.select("doc", "crc", "node", "n"), links.unionByName(more)
 
 
