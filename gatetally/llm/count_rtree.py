@@ -406,7 +406,7 @@ def row_name() -> tuple[Column, Column]:
 
 
 def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc, crc, node, n) and links (u, v) that join their nodes into components."""
+    """Documents (doc, crc, node, n), and the component's label of every node that has a candidate."""
     spark = docs.sparkSession
     rows = docs.select(*row_name(), whole_text().alias("text"))
     out = "doc long, crc long, node long, n long, point binary, fine binary"
@@ -435,15 +435,23 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
         "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
     )
-    second = _candidates(shared, stored(joined_nodes, "nodes"), percent, block, FINE, False)
-    more = stored(_verified(second, texts, percent), "links")
-    return members.select("doc", "crc", "node", "n"), links.unionByName(more)
+    joined_nodes = stored(joined_nodes, "nodes")
+    second = _candidates(shared, joined_nodes, percent, block, FINE, False)
+    more = _verified(second, texts, percent)
+    # Links of round two join whole components, so only the components' labels go on.
+    names = joined_nodes.select("node", "label")
+    end = lambda x, name: names.select(F.col("node").alias(x), F.col("label").alias(name))
+    across = more.join(end("u", "a"), "u").join(end("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    merged = components(stored(across.distinct(), "across"))
+    merged = merged.select(F.col("node").alias("label"), F.col("label").alias("last"))
+    final = names.join(merged, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
+    return members.select("doc", "crc", "node", "n"), final
 
 
 def _labelled(docs: DataFrame, percent: int, block: int) -> DataFrame:
     """Rows (doc, crc, n, label): the label of a row's component, null for the empty set."""
-    members, links = similar(docs, percent, block)
-    full = members.where("n > 0").join(components(links), "node", "left")
+    members, labels = similar(docs, percent, block)
+    full = members.where("n > 0").join(labels, "node", "left")
     full = full.select("doc", "crc", "n", F.coalesce("label", "node").alias("label"))
     return full.unionByName(members.where("n = 0").select("doc", "crc", "n", F.lit(None).cast("long").alias("label")))
 
