@@ -16,8 +16,11 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(20240531).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+#: Powers are kept for arrays of up to 2^KEPT_BITS bytes and made anew for longer ones.
+KEPT_BITS = 21
+
+
+def _made(bits: int) -> tuple[np.ndarray, np.ndarray]:
     both = []
     for base in (_BASE, _INVERSE):
         steps = np.full(1 << bits, base, np.uint64)
@@ -26,6 +29,16 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
+@lru_cache(maxsize=1)
+def _kept() -> tuple[np.ndarray, np.ndarray]:
+    return _made(KEPT_BITS)
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, at least ``size`` of each."""
+    return _kept() if size <= 1 << KEPT_BITS else _made(size.bit_length())
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose every output bit depends on every input bit."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -37,8 +50,7 @@ class Hashed:
     """Substring hashes of one byte array."""
 
     def __init__(self, data: np.ndarray):
-        bits = max(16, int(len(data)).bit_length())
-        power, self.inverse = _powers(bits)
+        power, self.inverse = _powers(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTES[data] * power[: len(data)], out=self.prefix[1:])
 
