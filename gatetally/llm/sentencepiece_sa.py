@@ -43,9 +43,9 @@ from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
 #: Characters packed into one 60-bit key, and their width; the codes of a vocabulary must fit.
 _PACK, _BITS = 5, 12
 #: Characters indexed together, and characters of text that a step holds.
-INDEX, CHUNK = 400_000, 1_500_000
+INDEX, CHUNK = 250_000, 1_000_000
 #: Segments whose ids a worker remembers (about 200 bytes each).
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def _packed(codes: np.ndarray) -> np.ndarray:
