@@ -17,11 +17,11 @@ component.
    largest counts and the range of set sizes; a join of the tree with itself
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
 4. Round one takes for each node the best partner in each bucket and bounds it
-   again by ``FINE`` groups. Round two, over the nodes that have a partner and with
-   ``FINE`` groups in the tree, takes all pairs that pass in different components
-   of round one's links: in a group of thousands of near copies most pairs are
-   joined by then, and the finer bound leaves out most that do not link. All are
-   verified on their texts.
+   again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
+   (whether or not the best one passed the finer bound) and with ``FINE`` groups,
+   takes all pairs that pass in different components of round one's links: in a
+   group of thousands of near copies most pairs are joined by then, and the finer
+   bound leaves out most that do not link. All are verified on their texts.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks: round one looks into
 each block, round two into each pair of blocks, as separate rows of the shuffle.
@@ -423,14 +423,13 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
         F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")
     )
     alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
-    first = _candidates(shared, alone, percent, block, GROUPS, True)
-    first = stored(_bounded(first, nodes, percent), "pairs")
-    # Every node with a partner that passes is in a pair of round one; only those need their texts.
+    first = stored(_candidates(shared, alone, percent, block, GROUPS, True), "pairs")
+    # A node with any partner in the tree is in a pair here, before the finer bound; only those need their texts.
     used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
     sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = sources.select("node", "row.doc", "row.crc")
     texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(first, texts, percent), "links")
+    links = stored(_verified(_bounded(first, nodes, percent), texts, percent), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
         "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")

@@ -87,6 +87,20 @@ def test_components_of_similar_sets(corpus, block):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows)[0], key=repr)
 
 
+def star(n):
+    """A text of nine words and ``n`` variants with one more word, which link with it but not with each other."""
+    stem = "a star has one stem and a thousand rays"
+    return [(i, stem + (f" ray{i}" if i else "")) for i in range(n + 1)]
+
+
+def test_variants_of_one_text_link_through_it(spark):
+    rows = star(2000)
+    found = count_rtree.shingle_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = sorted(brute_components(rows)[0], key=repr)
+    assert {c for *_, c in want} == {0}
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == want
+
+
 def test_one_of_each_component_stays(corpus, empty):
     rows = [(r["doc_id"], r["text"]) for r in corpus.collect()]
     _, roots = brute_components(rows)
