@@ -25,7 +25,8 @@ component.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks: round one looks into
 each block, round two into each pair of blocks, as separate rows of the shuffle.
-So no task gathers more than two blocks. Links become components by aggregations
+All nodes of such a bucket enter round two, as round one may not have met their
+partners. So no task gathers more than two blocks. Links become components by aggregations
 and joins; nothing but the order's table, of at most ``1 << SKETCH_BITS`` counts,
 reaches the driver.
 
@@ -253,6 +254,7 @@ class Bucket:
     def __init__(self, table: pa.Table, groups: int):
         get = lambda c: table.column(c).to_numpy()
         self.node, self.n, self.label, self.part = (get(c) for c in ("node", "n", "label", "part"))
+        self.cut = get("parts") > 1
         self.points = unpacked(table.column("point").to_pylist(), groups)
         token, lo, hi = (get(c) for c in ("token", "lo", "hi"))
         self.apart = lo != hi
@@ -302,6 +304,10 @@ def _candidate_batches(best_only: bool, percent: int, groups: int):
             new = np.ones(len(i), bool)
             new[1:] = i[1:] != i[:-1]
             i, j = i[new], j[new]
+        if best_only:
+            # A node of a bucket in several blocks is paired with itself, so that round two has it.
+            cut = np.flatnonzero(rows.cut)
+            i, j = np.concatenate([i, cut]), np.concatenate([j, cut])
         u, v = np.minimum(rows.node[i], rows.node[j]), np.maximum(rows.node[i], rows.node[j])
         pair = np.unique(np.stack([u, v], 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["u", "v"])
@@ -369,7 +375,10 @@ def _verify_batches(percent: int):
 def _candidates(
     shared: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, best_only: bool
 ) -> DataFrame:
-    """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound."""
+    """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound.
+
+    With ``best_only``, the best of each node in each block, and (u, u) for nodes of buckets in several blocks.
+    """
     rows = shared.join(nodes, "node")
     crowd = rows.groupBy("token").agg(
         F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")
@@ -382,7 +391,7 @@ def _candidates(
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         dealt = dealt.withColumn("other", other)
         dealt = dealt.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other"))
-    columns = ["token", "lo", "hi", "part", "node", "n", "label", "point"]
+    columns = ["token", "lo", "hi", "part", "parts", "node", "n", "label", "point"]
     keys = ["token", "lo", "hi"]
     in_order = dealt.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
     return in_order.mapInArrow(_candidate_batches(best_only, percent, groups), "u long, v long").distinct()
@@ -424,12 +433,13 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     )
     alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
     first = stored(_candidates(shared, alone, percent, block, GROUPS, True), "pairs")
-    # A node with any partner in the tree is in a pair here, before the finer bound; only those need their texts.
+    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here, before the finer bound;
+    # only those need their texts.
     used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
     sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = sources.select("node", "row.doc", "row.crc")
     texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(_bounded(first, nodes, percent), texts, percent), "links")
+    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
         "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")

@@ -101,6 +101,13 @@ def test_variants_of_one_text_link_through_it(spark):
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == want
 
 
+def test_partners_in_other_blocks_are_found(spark):
+    rows = star(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = count_rtree.shingle_components(docs, block=3)
+    assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(brute_components(rows)[0], key=repr)
+
+
 def test_one_of_each_component_stays(corpus, empty):
     rows = [(r["doc_id"], r["text"]) for r in corpus.collect()]
     _, roots = brute_components(rows)
