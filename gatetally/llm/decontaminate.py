@@ -1,8 +1,9 @@
 """Passages of a benchmark in documents by SimHash windows (operator 7, built-in expressions only).
 
-1. *Windows.* A window has as many words as an item. Windows start where they put
-   some shingle of ``WORDS`` words of the document at its place in an item: a
-   window without any shingle of an item cannot be similar to it.
+1. *Windows.* A window has as many words as an item and may start at any word. A
+   similar one holds, at any of its places, shingles of ``WORDS`` words of an item:
+   at least the least similarity times the item's number. All windows with so many
+   shingles of items of their size are taken, whatever the order of the shingles.
 2. *Fingerprints.* Each bit of a SimHash is the sign of the sum over the shingles
    of a window, plus or minus one by a bit of their hash. Items get theirs alike.
 3. *Index.* Fingerprints are cut into ``RADIUS + 1`` blocks. Two that differ in at
@@ -17,7 +18,8 @@ join whose item side is broadcast while it has at most ``BROADCAST`` rows, and
 shuffled beyond. Only documents with windows are read again.
 
 Defined results: one row for each document row and item that pass, for the most
-similar window, the first of equal ones. Words are runs of letters and digits in
+similar window; of equal ones, one that puts some shingle at its place in an item
+comes before others, then the first. Words are runs of letters and digits in
 lower case. Null or empty texts and items without words never match; an item of
 fewer than ``WORDS`` words is one shingle; a window is cut off at either end of
 its text; repeated items match each for itself; other columns are ignored.
@@ -95,6 +97,16 @@ def sized(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST else side
 
 
+def window_starts(places: Column, spread: Column, least: Column) -> Column:
+    """All starts of windows that hold at least ``least`` of the sorted ``places``, none more than ``spread`` words in."""
+    first = F.transform(
+        F.slice(places, 1, F.greatest(F.size(places) - least + 1, F.lit(0))),
+        lambda p, i: F.struct((F.get(places, i + least - 1) - spread).alias("low"), p.alias("high")),
+    )
+    fits = F.filter(first, lambda r: r["low"] <= r["high"])
+    return F.array_distinct(F.flatten(F.transform(fits, lambda r: F.sequence(r["low"], r["high"]))))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, words: int = WORDS
 ) -> DataFrame:
@@ -129,13 +141,28 @@ def contaminated(
             [], "doc_id long, crc long, item_id long, start_word int, n_words int, similarity double"
         )
     found = reduce(DataFrame.unionByName, looked).join(sized(seeds, n_seeds), ["k", "h"])
-    window = F.struct(F.greatest(F.lit(0), F.col("place") - F.col("at")).alias("start"),
-                      (F.col("place") - F.col("at") + F.col("length")).alias("end"), "length")
-    starts = found.groupBy("doc", "crc").agg(F.collect_set(window).alias("windows"))
-    texts = rows.join(starts, ["doc", "crc"]).select("doc", "crc", own.alias("words"), F.explode("windows").alias("w"))
-    windows = texts.select(
-        "doc", "crc", F.col("w.start").alias("start"), F.col("w.length").alias("length"),
-        F.slice("words", F.col("w.start") + 1, F.least("w.end", F.size("words")) - F.col("w.start")).alias("words"),
+    hits = found.groupBy("doc", "crc", "length", "k").agg(
+        F.sort_array(F.collect_set("place")).alias("places"),
+        F.collect_set(F.col("place") - F.col("at")).alias("aligned"),
+    )
+    spread = F.col("length") - F.col("k")
+    least = F.greatest(F.lit(1), F.ceil(F.lit(similarity) * (spread + 1) - 1e-9).cast("int"))
+    hits = hits.withColumn("starts", window_starts(F.col("places"), spread, least)).where("size(starts) > 0")
+    wanted = hits.groupBy("doc", "crc").agg(F.collect_list(F.struct("length", "starts", "aligned")).alias("wanted"))
+    texts = rows.join(wanted, ["doc", "crc"]).select("doc", "crc", own.alias("words"), F.explode("wanted").alias("w"))
+    # In a text shorter than the item, all windows that hold the whole text are one.
+    whole_from = F.size("words") - F.col("w.length")
+    same = lambda s: F.when((s < 0) & (s >= whole_from), F.lit(0)).otherwise(s)
+    starts, aligned = (F.array_distinct(F.transform(f"w.{c}", same)) for c in ("starts", "aligned"))
+    marks = lambda some, seeded: F.transform(
+        some, lambda s: F.struct(s.alias("at"), F.lit(seeded).alias("seeded"))
+    )
+    both = F.concat(marks(F.array_intersect(starts, aligned), True), marks(F.array_except(starts, aligned), False))
+    windows = texts.select("doc", "crc", "words", F.col("w.length").alias("length"), F.explode(both).alias("w"))
+    start = F.greatest(F.lit(0), F.col("w.at"))
+    windows = windows.select(
+        "doc", "crc", start.alias("start"), "length", "w.seeded",
+        F.slice("words", start + 1, F.least(F.col("w.at") + F.col("length"), F.size("words")) - start).alias("words"),
     )
     windows = windows.withColumn("n_words", F.size("words")).where("n_words > 0")
     windows = windows.withColumn("shingles", shingles_of(F.col("words"), F.least(F.lit(words), "length"))).drop("words")
@@ -152,8 +179,11 @@ def contaminated(
     near = near.select("doc", "crc", "start", "length", "item").distinct()
     counted = (
         marked.join(near, ["doc", "crc", "start", "length"])
-        .select("doc", "crc", "start", "n_words", "item", F.size("shingles").alias("of"), F.explode("shingles").alias("shingle"))
-        .groupBy("doc", "crc", "start", "n_words", "item", "of", "shingle")
+        .select(
+            "doc", "crc", "start", "seeded", "n_words", "item",
+            F.size("shingles").alias("of"), F.explode("shingles").alias("shingle"),
+        )
+        .groupBy("doc", "crc", "start", "seeded", "n_words", "item", "of", "shingle")
         .agg(F.count("*").alias("here"))
     )
     there = items.select("item", "item_id", F.size("shingles").alias("whole"), F.explode("shingles").alias("shingle"))
@@ -161,12 +191,12 @@ def contaminated(
     shared = F.sum(F.least("here", "there"))
     scored = (
         counted.join(sized(there, n_seeds), ["item", "shingle"])
-        .groupBy("doc", "crc", "start", "n_words", "item", "item_id", "of", "whole")
+        .groupBy("doc", "crc", "start", "seeded", "n_words", "item", "item_id", "of", "whole")
         .agg(shared.alias("shared"))
         .withColumn("similarity", F.col("shared") / (F.col("of") + F.col("whole") - F.col("shared")))
         .where(F.col("similarity") >= similarity)
     )
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words")).alias("best")
+    best = F.max(F.struct("similarity", "seeded", (-F.col("start")).alias("before"), "n_words")).alias("best")
     return (
         scored.groupBy("doc", "crc", "item", "item_id")
         .agg(best)

@@ -190,6 +190,51 @@ def test_benchmark_passages(spark, corpus, empty):
     assert decontaminate.contaminated(corpus, bench.limit(0)).count() == 0
 
 
+def brute_passages(text, item, words=5):
+    """The greatest similarity of any window of the item's size, cut off at either end of the text."""
+    doc, own = (re.findall(r"[^\W_]+", t.lower()) for t in (text, item))
+    k, best = min(words, len(own)), 0.0
+    there = Counter(tuple(own[i : i + k]) for i in range(len(own) - k + 1))
+    for s in range(1 - len(own), len(doc)):
+        view = doc[max(0, s) : s + len(own)]
+        here = Counter(tuple(view[i : i + k]) for i in range(max(1, len(view) - k + 1)))
+        shared = sum((here & there).values())
+        best = max(best, shared / (sum(here.values()) + sum(there.values()) - shared))
+    return best
+
+
+def test_reordered_passages_of_a_benchmark(spark):
+    item = [f"w{i}" for i in range(50)]
+    swapped = item[25:] + item[:25]
+    thirds = item[34:] + item[:17] + item[17:34]
+    other = [f"o{i}" for i in range(200)]
+    texts = [
+        other[:60] + swapped + other[60:120],
+        swapped,
+        swapped[3:] + other[:80],
+        other[:80] + swapped[:-4],
+        other[:70] + thirds + other[70:90] + item[:30] + other[90:],
+        other[:70] + item[:24] + ["new", "words"] + item[24:] + other[70:],
+        other[:70] + item[:30] + other[70:],
+        item[:46],
+        item + item,
+        other[:20] + ["one", "two"] + other[20:40],
+        ["one"],
+    ]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    items = [(1, " ".join(item)), (2, "one two"), (3, " ".join(item[:10] * 3)), (4, "one")]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want = {(d, i): brute_passages(t, x) for d, t in docs for i, x in items}
+    want = {pair: value for pair, value in want.items() if value >= 0.8}
+    assert (0, 1) in want and (1, 1) in want and (7, 1) in want and (6, 1) not in want
+    got = found.collect()
+    assert len(got) == len(want)
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in got} == pytest.approx(want)
+    assert {r["start_word"] for r in got if (r["doc_id"], r["item_id"]) == (0, 1)} == {60}
+
+
 def jump(key, n):
     b, j = -1, 0
     while j < n:
