@@ -12,6 +12,7 @@ from gatetally import schemas as S
 from gatetally.operators.percentile import exact_percentile
 
 PERCENT = 95
+HOURLY = ["hour", "request_path"]
 # Above these an address is suspected to be a bot.
 BOT_REQUESTS, BOT_REPEATED, BOT_LATENCY_MS, BOT_FEW_SESSIONS = 100, 50, 1000, 2
 
@@ -45,14 +46,19 @@ def interest_and_revenue(curated: DataFrame) -> DataFrame:
     )
 
 
-def _exact_health(requests: DataFrame, keys: list[str]) -> DataFrame:
-    """Requests collapse to one row per latency and status before anything else.
+def health_counts(curated: DataFrame, keys: list[str]) -> DataFrame:
+    """Server requests counted per key, latency and status."""
+    return _from_server(curated).groupBy(*keys, "latency_ms", "status_code").agg(F.count("*").alias("n"))
 
+
+def health_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact health of the keys from what :func:`health_counts` gives.
+
+    Requests collapse to one row per latency and status before anything else.
     That grouping is used twice, for the cells and for the values of one cell.
     The status is one of its keys, so that both uses read the same columns and
     share one scan and one shuffle.
     """
-    counts = requests.groupBy(*keys, "latency_ms", "status_code").agg(F.count("*").alias("n"))
     n, latency = F.col("n"), F.col("latency_ms")
     totals = {
         "requests": ("sum", n),
@@ -80,8 +86,13 @@ def health_measures(accuracy: int = 10000) -> list[Column]:
 
 
 def _health(curated: DataFrame, keys: list[str], exact: bool, accuracy: int) -> DataFrame:
-    requests = _from_server(curated)
-    return _exact_health(requests, keys) if exact else _quick_health(requests, keys, accuracy)
+    if exact:
+        return health_of_counts(health_counts(curated, keys), keys)
+    return _quick_health(_from_server(curated), keys, accuracy)
+
+
+def in_hours(curated: DataFrame) -> DataFrame:
+    return curated.withColumn("hour", F.date_trunc("hour", "event_ts"))
 
 
 def endpoint_hourly(curated: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
@@ -91,8 +102,7 @@ def endpoint_hourly(curated: DataFrame, exact: bool = True, accuracy: int = 1000
     ``exact=False`` takes the percentile from a sketch of bounded size in a
     single shuffle; its rank is off by at most ``1 / accuracy`` of the group.
     """
-    binned = curated.withColumn("hour", F.date_trunc("hour", "event_ts"))
-    return _health(binned, ["hour", "request_path"], exact, accuracy).orderBy(F.desc("hour"), "request_path")
+    return _health(in_hours(curated), HOURLY, exact, accuracy).orderBy(F.desc("hour"), "request_path")
 
 
 def endpoint_health(curated: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:

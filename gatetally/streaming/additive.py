@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gatetally import schemas as S
 from gatetally.functions.rounding import steady_round
 from gatetally.operators.curate import server_requests, with_missing
+from gatetally.operators.logqueries import HOURLY, health_counts, health_of_counts, in_hours
 from gatetally.operators.traffic import Limits, flag_anomalies
 
 RUN, BATCH, DAY, DIGEST = "run", "batch_id", "day", "digest"
@@ -30,6 +31,13 @@ SESSION_SUMS = T.StructType(
 )
 
 
+ENDPOINT_COUNTS = T.StructType(
+    [T.StructField("hour", T.TimestampType()), T.StructField("request_path", T.StringType())]
+    + [S.CLICK_CURATED[c] for c in ("latency_ms", "status_code")]
+    + [T.StructField("n", T.LongType())]
+)
+
+
 def session_sums(curated: DataFrame) -> DataFrame:
     """Server requests summed per settled day, address and session."""
     return (
@@ -94,6 +102,24 @@ def ip_anomalies(spark: SparkSession, path: str, limits: Limits = Limits()) -> D
     return flag_anomalies(daily, limits)
 
 
+def endpoint_counts(curated: DataFrame) -> DataFrame:
+    """Server requests counted per hour, path, latency and status; those without a time have a null hour."""
+    return health_counts(in_hours(curated), HOURLY)
+
+
+def store_endpoint_counts(
+    curated: DataFrame, path: str, checkpoint: str, run: int = 0, every: str | None = None
+) -> StreamingQuery:
+    return _start(curated, sums_writer(endpoint_counts, path, run), checkpoint, every)
+
+
+def endpoint_hourly(spark: SparkSession, path: str) -> DataFrame:
+    """Health per hour and path of all that has arrived, exactly as in batch."""
+    stored = newest_run(spark, path, ENDPOINT_COUNTS)
+    counts = stored.groupBy(*HOURLY, "latency_ms", "status_code").agg(F.sum("n").alias("n"))
+    return health_of_counts(counts, HOURLY)
+
+
 def _distinct_schema() -> T.StructType:
     fields = [*S.CLICK_RAW.fields, T.StructField(DIGEST, T.StringType()), T.StructField(DAY, T.StringType())]
     return T.StructType([*fields, *_VERSION])

@@ -4,7 +4,7 @@ from test_streaming import Inbox, batch_days, raw_stream, row, same, stream
 
 import pytest
 
-from gatetally.operators import curate
+from gatetally.operators import curate, logqueries
 from gatetally.sources import files
 from gatetally.streaming import additive
 
@@ -34,6 +34,20 @@ def test_late_and_untimed_requests_count_and_a_rerun_replaces(spark, inbox, tmp_
     assert sum(r["requests"] for r in got.collect()) == 12
 
 
+def test_endpoint_hours_count_late_untimed_and_last_requests(spark, inbox, tmp_path):
+    path = str(tmp_path / "counts")
+    for minute in (5, 900, 30, 3000):
+        inbox.put(row(minute, latency_ms=minute), row(minute, latency_ms=None, status_code=500), untimed(latency_ms=7))
+    for run, size in enumerate((1, 3)):
+        query = additive.store_endpoint_counts(stream(spark, inbox, size), path, str(tmp_path / f"state{run}"), run)
+        query.awaitTermination()
+    got = additive.endpoint_hourly(spark, path)
+    curated = curate.curate_clickstream(files.read_clickstream(spark, str(inbox.path)), "t1")
+    wanted = logqueries.endpoint_hourly(curated).collect()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted))
+    assert sum(r["requests"] for r in wanted) == 12
+
+
 def test_copies_in_any_batches_are_stored_once(spark, inbox, tmp_path):
     path = str(tmp_path / "rows")
     one, no_time = row(0, session_id="a"), untimed(session_id="b")

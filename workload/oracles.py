@@ -438,4 +438,5 @@ _oracle("stream_ip_anomalies_sketched", ["click"], f"SELECT * FROM {LIVE}")
 # Stored sums equal the batch metric: late rows and rows without a time count.
 for _name in ("stream_ip_anomalies", "stream_metric_upsert"):
     ORACLES[_name] = ORACLES["anomalies"]
+ORACLES["stream_endpoint_hourly_stored"] = ORACLES["q3_endpoint_hourly"]
 ORACLES["stream_dedup"] = f"{DISTINCT_COPIES}\nSELECT {CLICK_SHOWN} FROM click"

@@ -420,6 +420,15 @@ def stream_endpoint_hourly(spark, sf_dir):
     return _shown(_six(_drained(spark, hours, "stream-hours"), "avg_latency_ms"), "hour")
 
 
+@query
+def stream_endpoint_hourly_stored(spark, sf_dir):
+    """Over several batches; late and untimed rows and the last hour count as in batch."""
+    path = scratch_dir(spark, "stream-endpoints")
+    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    additive.store_endpoint_counts(stream, path, scratch_dir(spark, "stream-endpoints-checkpoint")).awaitTermination()
+    return _shown(_six(additive.endpoint_hourly(spark, path), "avg_latency_ms"), "hour")
+
+
 @query
 def stream_ip_anomalies_closed(spark, sf_dir):
     return _drained(spark, live.ip_anomalies_closed(stages.click_stream(spark, sf_dir)), "stream-days")
