@@ -172,7 +172,7 @@ class RTree:
             open_ += [(level - 1, box(x), box(y)) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
 
 
-def _set_batches(bits: int):
+def _set_batches(bits: int, words: int):
     """A function for ``mapInArrow``: node, size and points of each text; at the end of a task its frequent buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,7 @@ def _set_batches(bits: int):
         for batch in batches:
             texts, docs, crcs = batch.column("text").to_pylist(), batch.column("doc"), batch.column("crc")
             for a, b in chunks(texts, CHUNK):
-                sets = Sets(texts[a:b])
+                sets = Sets(texts[a:b], words)
                 counts += np.bincount((sets.hashes >> _U(64 - bits)).astype(np.int64), minlength=len(counts))
                 fine = sets.points(FINE)
                 point = fine.reshape(len(fine), -1, GROUPS).sum(1)
@@ -199,7 +199,7 @@ def _set_batches(bits: int):
     return run
 
 
-def _prefix_batches(frequent, bits: int, percent: int):
+def _prefix_batches(frequent, bits: int, percent: int, words: int):
     """A function for ``mapInArrow``: the shingles by which each set is looked up, once for each set of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +207,7 @@ def _prefix_batches(frequent, bits: int, percent: int):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in chunks(texts, CHUNK):
-                sets = Sets(texts[a:b])
+                sets = Sets(texts[a:b], words)
                 nodes = sets.nodes()
                 once = np.zeros(len(nodes), bool)
                 once[np.unique(nodes, return_index=True)[1]] = True
@@ -351,7 +351,7 @@ def _bound_batches(percent: int):
     return run
 
 
-def _verify_batches(percent: int):
+def _verify_batches(percent: int, words: int):
     """A function for ``mapInArrow``: pairs whose texts link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +361,7 @@ def _verify_batches(percent: int):
             for a, b in chunks([x + y for x, y in zip(*both, strict=True)], CHUNK):
                 distinct: dict[str, int] = {}
                 at = [[distinct.setdefault(t, len(distinct)) for t in side[a:b]] for side in both]
-                sets = Sets(list(distinct))
+                sets = Sets(list(distinct), words)
                 for x, y in zip(*at, strict=True):
                     p, q = sets.of(x), sets.of(y)
                     shared = len(np.intersect1d(p, q, assume_unique=True))
@@ -403,9 +403,9 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_bound_batches(percent), "u long, v long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_verify_batches(percent), "u long, v long")
+    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_verify_batches(percent, words), "u long, v long")
 
 
 def row_name() -> tuple[Column, Column]:
@@ -414,18 +414,20 @@ def row_name() -> tuple[Column, Column]:
     return doc.alias("doc"), F.crc32(whole_text().cast("binary")).alias("crc")
 
 
-def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def similar(
+    docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, words: int = WORDS
+) -> tuple[DataFrame, DataFrame]:
     """Documents (doc, crc, node, n), and the component's label of every node that has a candidate."""
     spark = docs.sparkSession
     rows = docs.select(*row_name(), whole_text().alias("text"))
     out = "doc long, crc long, node long, n long, point binary, fine binary"
-    found = stored(rows.mapInArrow(_set_batches(SKETCH_BITS), out), "sets")
+    found = stored(rows.mapInArrow(_set_batches(SKETCH_BITS, words), out), "sets")
     members = found.where("node is not null")
     heavy = found.where("node is null").groupBy("doc").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(1 << SKETCH_BITS, np.int64)
     table[heavy["doc"].to_numpy(np.int64)] = heavy["n"].to_numpy(np.int64)
     frequent = spark.sparkContext.broadcast(table)
-    prefixes = rows.mapInArrow(_prefix_batches(frequent, SKETCH_BITS, percent), "token long, node long")
+    prefixes = rows.mapInArrow(_prefix_batches(frequent, SKETCH_BITS, percent, words), "token long, node long")
     in_order = prefixes.repartition("token").sortWithinPartitions("token", "node")
     shared = stored(in_order.mapInArrow(_shared_batches, "token long, node long"), "shared")
     nodes = members.groupBy("node").agg(
@@ -439,14 +441,14 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = sources.select("node", "row.doc", "row.crc")
     texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent), "links")
+    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent, words), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
         "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
     )
     joined_nodes = stored(joined_nodes, "nodes")
     second = _candidates(shared, joined_nodes, percent, block, FINE, False)
-    more = _verified(second, texts, percent)
+    more = _verified(second, texts, percent, words)
     # Links of round two join whole components, so only the components' labels go on.
     names = joined_nodes.select("node", "label")
     end = lambda x, name: names.select(F.col("node").alias(x), F.col("label").alias(name))
@@ -457,9 +459,9 @@ def similar(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tupl
     return members.select("doc", "crc", "node", "n"), final
 
 
-def _labelled(docs: DataFrame, percent: int, block: int) -> DataFrame:
+def _labelled(docs: DataFrame, percent: int, block: int, words: int = WORDS) -> DataFrame:
     """Rows (doc, crc, n, label): the label of a row's component, null for the empty set."""
-    members, labels = similar(docs, percent, block)
+    members, labels = similar(docs, percent, block, words)
     full = members.where("n > 0").join(labels, "node", "left")
     full = full.select("doc", "crc", "n", F.coalesce("label", "node").alias("label"))
     return full.unionByName(members.where("n = 0").select("doc", "crc", "n", F.lit(None).cast("long").alias("label")))
@@ -477,9 +479,9 @@ def shingle_components(docs: DataFrame, percent: int = PERCENT, block: int = BLO
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` without all but the first, by doc_id, of each component; all rows without words stay."""
-    rows = stored(_labelled(docs, percent, block), "labels")
+    rows = stored(_labelled(docs, percent, block, words), "labels")
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc", "crc")).alias("row"))
     doc, crc = row_name()
     mine = docs.withColumns({"_doc": doc, "_crc": crc})

@@ -118,6 +118,18 @@ def test_one_of_each_component_stays(corpus, empty):
     assert count_rtree.shingle_components(empty).count() == 0
 
 
+def test_the_stage_takes_five_words_and_eighty_percent(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline", exc_type=ImportError)
+    words = [f"w{i}" for i in range(99)]
+    changed = [w if i not in (30, 60) else "new" for i, w in enumerate(words)]
+    far = [w if i not in (20, 40, 60) else "new" for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(w + "x" for w in words)), (4, " ".join(far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(corpus_pipeline.ngram_jaccard(spark, docs.where("doc_id < 4"), ""), "doc_id") == [(1,), (3,)]
+    assert corpus_pipeline.ngram_jaccard(spark, docs.where("doc_id in (1, 4)"), "").count() == 2
+    assert count_rtree.one_of_each(docs.where("doc_id < 3")).count() == 2
+
+
 def test_tree_finds_all_pairs_within_the_bound():
     rng = np.random.default_rng(5)
     points = rng.integers(0, 6, (400, 8)).astype(np.int32)
