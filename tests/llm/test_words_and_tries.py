@@ -167,15 +167,16 @@ def test_bpe_query_digests(spark, sf_dir, library):
         assert row["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
 
 
-def test_runs_that_change_between_readings_are_refused(corpus):
-    rows = [{"run": 1, "seal": 5, "word_no": -1, "ids": None, "doc_ids": [1], "counts": [1]}]
-    rows[0]["numbers"] = byte_bpe.planes(np.array([0]))
-    rows.append({"run": 1, "seal": 6, "word_no": 0, "ids": b"\1\0\0\0", "doc_ids": None, "counts": None, "numbers": None})
+def test_runs_that_change_between_readings_are_refused():
+    head = {"run": 1, "seal": 5, "bucket": -1, "numbers": byte_bpe.squeezed(np.array([0, 0])), "ids": None}
+    rows = [head | {"doc_ids": [1], "counts": [2]}, {"run": 1, "seal": 5, "bucket": 0} | {"doc_ids": None, "counts": None}]
+    rows[1] |= {"numbers": byte_bpe.squeezed(np.array([0])), "ids": byte_bpe.packed([b"\1\0"])}
     batch = byte_bpe.pa.RecordBatch.from_pylist(rows)
-    with pytest.raises(RuntimeError, match="changed"):
-        list(byte_bpe.assemble(iter([batch])))
-    with pytest.raises(RuntimeError, match="changed"):
-        list(byte_bpe.assemble(iter([batch.slice(0, 1)])))
+    assert [b.to_pylist() for b in byte_bpe.assemble(RANKS)(iter([batch]))] == [[{"doc_id": 1, "ids": [1, 1]}]]
+    other = byte_bpe.pa.RecordBatch.from_pylist([rows[0], rows[1] | {"seal": 6}])
+    for changed in (other, batch.slice(0, 1)):
+        with pytest.raises(RuntimeError, match="changed"):
+            list(byte_bpe.assemble(RANKS)(iter([changed])))
 
 
 def test_no_texts(empty):
