@@ -16,9 +16,11 @@ def parsed(argv: Sequence[str] | None = None) -> argparse.Namespace:
     curate, analyse = commands.add_parser("curate"), commands.add_parser("analyse")
     for command in (curate, analyse):
         command.add_argument("--base", required=True, help="folder holding raw, curated and analytics")
-        command.add_argument("--replace", choices=["all", "touched"], default="all")
+        command.add_argument("--replace", choices=["all", "days"], default="all", help="whole layers, or days with rows")
     curate.add_argument("--tenant", required=True)
     curate.add_argument("--strict", action="store_true", help="also drop copies and sales of unknown events")
+    curate.add_argument("--open-fields", action="store_true", help="keep fields outside the contract")
+    analyse.add_argument("--days", nargs="+", help="compute and replace these days only")
     analyse.add_argument("--jdbc-url", help="publish the metrics to this database as well")
     analyse.add_argument("--keep-tables", action="store_true", help="refill existing tables")
     return parser.parse_args(argv)
@@ -27,11 +29,11 @@ def parsed(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Run the chosen job and return its row counts."""
     if args.job == "curate":
-        return jobs.curate_all(spark, args.base, args.tenant, args.strict, args.replace)
+        return jobs.curate_all(spark, args.base, args.tenant, args.strict, args.replace, args.open_fields)
     database = None
     if args.jdbc_url:
         database = jobs.Database(args.jdbc_url, connection_options(), args.keep_tables)
-    return jobs.analyse_all(spark, args.base, database, args.replace)
+    return jobs.analyse_all(spark, args.base, database, args.replace, args.days)
 
 
 def main() -> None:

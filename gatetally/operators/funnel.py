@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatetally import schemas as S
@@ -55,6 +55,11 @@ def funnel_checks(funnel: DataFrame) -> DataFrame:
     )
 
 
+def known_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts that were taken while writing, in the form of :func:`layer_counts`."""
+    return spark.createDataFrame(list(counts.items()), "layer string, n_rows bigint")
+
+
 def layer_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """One row per named frame with its row count, in one job.
 

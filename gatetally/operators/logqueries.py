@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatetally import schemas as S
+from gatetally.functions.rounding import exact_sum
 from gatetally.operators.percentile import exact_percentile
 
 PERCENT = 95
@@ -41,7 +42,7 @@ def interest_and_revenue(curated: DataFrame) -> DataFrame:
         _from_browser(curated, ["view_event_detail", "purchase"])
         .filter(F.col("event_id").isNotNull())
         .groupBy("dt", "event_id", "event_type")
-        .agg(F.count("*").alias("events"), F.sum("amount").alias("revenue_total"))
+        .agg(F.count("*").alias("events"), exact_sum(F.col("amount")).alias("revenue_total"))
         .orderBy("dt", F.desc("events"), "event_id", "event_type")
     )
 

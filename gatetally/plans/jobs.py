@@ -5,11 +5,13 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatetally import schemas as S
 from gatetally.operators import curate, funnel, interest, joins, traffic
 from gatetally.session import use_utc
-from gatetally.sources import files, relational
+from gatetally.sources import days, files, relational
+from gatetally.sources import open_fields as open_fields_of
 
 CURATED = {
     "clickstream": S.CLICK_CURATED,
@@ -37,23 +39,60 @@ def open_layer(spark: SparkSession, base: str, layer: str, schemas: dict) -> dic
     return {n: files.read_layer(spark, files.layer_path(base, layer, n), s) for n, s in schemas.items()}
 
 
-def _store(spark: SparkSession, base: str, layer: str, frames: dict[str, DataFrame], replace: str) -> None:
+def _store(
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    frames: dict[str, DataFrame],
+    replace: str,
+    named: list[str] | None = None,
+) -> DataFrame:
     """Write independent datasets at the same time, so that the small ones do
-    not wait for the large one. The first error is raised once all have ended."""
+    not wait for the large one. The first error is raised once all have ended.
+    Returns the rows of each dataset: those just written are counted on their
+    way, only a dataset of which some days were replaced is counted again.
+
+    ``replace`` is ``all`` for whole datasets, or ``days`` for the days ``named``,
+    else those that a dataset has rows for.
+    """
+    if replace not in ("all", "days"):
+        raise ValueError(f"replace all or days, not {replace}")
 
     @inheritable_thread_target(spark)
-    def write(name: str) -> None:
-        files.write_layer(frames[name], files.layer_path(base, layer, name), S.LAYER_KEYS[name], replace)
+    def write(name: str) -> int | None:
+        path, keys = files.layer_path(base, layer, name), S.LAYER_KEYS[name]
+        if replace == "days":
+            days.write_days(frames[name], path, keys, named)
+        elif days.kept_by_day(spark, path):
+            days.write_days(frames[name], path, keys, whole=True)
+        else:
+            return files.write_layer(frames[name], path, keys)
+        return None
 
     with ThreadPoolExecutor(len(frames)) as pool:
-        started = [pool.submit(write, name) for name in frames]
-    for done in started:
-        done.result()
-
-
-def curate_all(spark: SparkSession, base: str, tenant: str, strict: bool = False, replace: str = "all") -> DataFrame:
+        started = {name: pool.submit(write, name) for name in frames}
+    counts = {name: done.result() for name, done in started.items()}
+    schemas = {"curated": CURATED, "analytics": ANALYTICS}[layer]
+    other = {
+        n: files.read_layer(spark, files.layer_path(base, layer, n), schemas[n]) for n in frames if counts[n] is None
+    }
+    told = funnel.known_counts(spark, {n: c for n, c in counts.items() if c is not None})
+    return told.unionByName(funnel.layer_counts(other)) if other else told
+
+
+def curate_all(
+    spark: SparkSession,
+    base: str,
+    tenant: str,
+    strict: bool = False,
+    replace: str = "all",
+    open_fields: bool = False,
+) -> DataFrame:
     """Curate the four raw inputs under ``base`` and return their row counts.
 
+    With ``open_fields`` clickstream rows keep what the contract does not name in
+    a column ``extra``, and lines that are no JSON go to ``curated/malformed``.
+
     ``strict`` adds the documented steps: copies of clickstream rows and sales
     of events outside the catalog are removed.
     """
@@ -62,7 +101,8 @@ def curate_all(spark: SparkSession, base: str, tenant: str, strict: bool = False
         n: files.read_csv(spark, files.layer_path(base, "raw", f"business/{n}.csv"), s)
         for n, s in {"events": S.CATALOG_RAW, "campaigns": S.CAMPAIGN_RAW, "transactions": S.TX_RAW}.items()
     }
-    clicks = files.read_clickstream(spark, files.layer_path(base, "raw", "clickstream/*.jsonl"))
+    logs = files.layer_path(base, "raw", "clickstream/*.jsonl")
+    clicks = open_fields_of.read_open(spark, logs) if open_fields else files.read_clickstream(spark, logs)
     catalog = curate.curate_catalog(raw["events"])
     by_tenant = curate.curate_clickstream_strict if strict else curate.curate_clickstream
     sales = (
@@ -71,33 +111,45 @@ def curate_all(spark: SparkSession, base: str, tenant: str, strict: bool = False
         else curate.curate_transactions(raw["transactions"])
     )
     curated = {
-        "clickstream": by_tenant(clicks, tenant),
+        "clickstream": by_tenant(clicks, tenant).drop("file", open_fields_of.MALFORMED),
         "events": catalog,
         "campaigns": curate.curate_campaigns(raw["campaigns"]),
         "transactions": sales,
     }
-    _store(spark, base, "curated", curated, replace)
-    return funnel.layer_counts(open_layer(spark, base, "curated", CURATED))
-
-
-def analyse_all(spark: SparkSession, base: str, database: Database | None = None, replace: str = "all") -> DataFrame:
+    if open_fields:
+        lost = open_fields_of.malformed_lines(clicks)
+        lost.write.mode("overwrite").json(files.layer_path(base, "curated", "malformed"))
+    return _store(spark, base, "curated", curated, replace)
+
+
+def analyse_all(
+    spark: SparkSession,
+    base: str,
+    database: Database | None = None,
+    replace: str = "all",
+    some_days: list[str] | None = None,
+) -> DataFrame:
     """Compute, store and optionally publish the three metrics; return counts.
 
-    Each metric is computed once, on its way to storage. Counts and the
+    With ``some_days`` only those days are read and computed, and replaced as a
+    whole; every metric is one of its day alone.
+
+    Each metric is computed once, on its way to storage, and counted there. The
     relational tables are served from the stored copy.
     """
     use_utc(spark)
-    clicks = open_layer(spark, base, "curated", CURATED)["clickstream"]
+    clicks = files.read_layer(spark, files.layer_path(base, "curated", "clickstream"), S.CLICK_CURATED)
+    if some_days is not None:
+        clicks, replace = clicks.filter(F.col("dt").isin(some_days)), "days"
     metrics = {
         "metrics_funnel_daily": funnel.funnel_daily(clicks, ordered=False),
         "metrics_event_rank": interest.event_rank(clicks, ordered=False),
         "metrics_anomalies": traffic.anomalies(clicks, ordered=False),
     }
-    _store(spark, base, "analytics", metrics, replace)
-    stored = open_layer(spark, base, "analytics", ANALYTICS)
+    counts = _store(spark, base, "analytics", metrics, replace, some_days)
     if database:
-        publish(stored, database)
-    return funnel.layer_counts(stored)
+        publish(open_layer(spark, base, "analytics", ANALYTICS), database)
+    return counts
 
 
 def publish(stored: dict[str, DataFrame], database: Database) -> None:

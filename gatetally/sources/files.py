@@ -1,11 +1,12 @@
 """Readers and writers of the raw, curated and analytics layers."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gatetally import schemas as S
 from gatetally.operators.curate import with_missing
+from gatetally.sources import days, tail
 
 
 def layer_path(base: str, layer: str, name: str) -> str:
@@ -33,6 +34,18 @@ def stream_clickstream(spark: SparkSession, path: str, files_per_batch: int | No
     return reader.json(path)
 
 
+def tail_clickstream(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """The same rows as a stream of the lines that are appended to files; see :mod:`sources.tail`.
+
+    ``path`` is a file, a folder, or a folder with a wild card in its last part.
+    """
+    spark.dataSource.register(tail.LineTail)
+    reader = spark.readStream.format(tail.LineTail.name())
+    if split_bytes:
+        reader = reader.option("splitBytes", split_bytes)
+    return reader.load(path).select(F.from_json("value", S.CLICK_RAW).alias("row")).select("row.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV as text columns taken by their names in the header; an empty cell is null.
 
@@ -45,28 +58,33 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored layer. The schema is given, since partition values read without
-    one change type with the data (a day column turns to text once it holds
-    ``unknown``)."""
+    """A stored layer, however it was written. The schema is given, since partition
+    values read without one change type with the data (a day column turns to text
+    once it holds ``unknown``)."""
+    if days.kept_by_day(spark, path):
+        return days.read_days(spark, path, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def write_layer(df: DataFrame, path: str, keys: tuple[str, ...], replace: str = "all") -> None:
-    """Write Parquet partitioned by ``keys``.
+def write_layer(df: DataFrame, path: str, keys: tuple[str, ...]) -> int:
+    """Replace a layer by Parquet partitioned by ``keys``; returns how many rows were written.
 
     Rows are brought together by partition before writing, so that each folder
     gets few, evenly sized files; the rebalance splits a folder with a third of
-    the data over many tasks. ``replace`` is ``all`` for the whole dataset or
-    ``touched`` for just the partitions that ``df`` has rows for.
+    the data over many tasks. To replace some days only, see
+    :func:`sources.days.write_days`.
     """
-    mode = {"all": "static", "touched": "dynamic"}[replace]
+    counted = Observation()
     (
+        # Counted behind the shuffle, in the tasks that write: none of those counts twice.
         df.hint("rebalance", *[F.col(k) for k in keys])
+        .observe(counted, F.count(F.lit(1)).alias("n_rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*keys)
         .parquet(path)
     )
+    return counted.get["n_rows"]
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -1,7 +1,10 @@
 """Metric tables in a relational database, written by the executors."""
 
 import os
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +25,31 @@ class Table:
         body.append(f"PRIMARY KEY ({', '.join(self.primary_key)})")
         return f"CREATE TABLE {self.name} ({', '.join(body)})"
 
+    def staged(self) -> "Table":
+        """The table that is filled before it takes this one's name."""
+        return replace(self, name=f"{self.name}_next")
+
+    def prepare(self) -> list[str]:
+        """Statements that leave an empty staging table with the key, and a target to swap it with."""
+        staging = self.staged()
+        ensure = self.ddl().replace("CREATE TABLE", "CREATE TABLE IF NOT EXISTS", 1)
+        return [f"DROP TABLE IF EXISTS {staging.name}", staging.ddl(), ensure, f"DROP TABLE IF EXISTS {self.name}_old"]
+
+    def swap(self, dialect: str) -> list[str]:
+        """Statements that give the staging table the target's name, at once for every reader."""
+        name, staging, old = self.name, self.staged().name, f"{self.name}_old"
+        renames = {
+            # One statement renames both; other sessions see the one or the other.
+            "mysql": [f"RENAME TABLE {name} TO {old}, {staging} TO {name}"],
+            "postgresql": [
+                "BEGIN",
+                f"ALTER TABLE {name} RENAME TO {old}",
+                f"ALTER TABLE {staging} RENAME TO {name}",
+                "COMMIT",
+            ],
+        }[dialect]
+        return [*renames, f"DROP TABLE {old}"]
+
     def column_types(self) -> str:
         return ", ".join(f"{c} {t}" for c, t in self.columns.items())
 
@@ -83,6 +111,44 @@ def sink_frame(df: DataFrame, table: Table) -> DataFrame:
     return rows.withColumns(days)
 
 
+def unkeyed_rows(df: DataFrame, table: Table) -> DataFrame:
+    """Rows that a primary key would refuse: a key column is null, or a day that is no date."""
+    keys = reduce(or_, [F.col(k).isNull() for k in table.primary_key])
+    return sink_frame(df, table).filter(keys)
+
+
+def replace_table(
+    df: DataFrame,
+    url: str,
+    table: Table,
+    options: dict[str, str],
+    execute: Callable[[list[str]], None],
+    fill: Callable[[DataFrame, Table], None] | None = None,
+    writers: int = 4,
+) -> DataFrame:
+    """Replace the table's rows by those of ``df``, key included, and return the rows left out.
+
+    ``execute`` runs statements one after another on one connection of the caller's
+    driver. A staging table is made with the primary key, filled by the executors and
+    renamed into place: readers see the old rows or the new ones. A task that is
+    repeated after its commit fails on the key and with it the job, before anything
+    was renamed; no rows are doubled. Rows without a key, which the database would
+    refuse, are left out and returned (:func:`unkeyed_rows`).
+    """
+    dialect = url.split(":")[1]
+    swap = table.swap(dialect)
+    keyed = sink_frame(df, table).dropna(subset=list(table.primary_key))
+
+    def append(rows: DataFrame, target: Table) -> None:
+        writer = rows.write.format("jdbc").mode("append")
+        writer.options(url=url, dbtable=target.name, numPartitions=writers, **options).save()
+
+    execute(table.prepare())
+    (fill or append)(keyed, table.staged())
+    execute(swap)
+    return unkeyed_rows(df, table)
+
+
 def connection_options(env: dict[str, str] = os.environ) -> dict[str, str]:
     """JDBC user and password from ``METRICS_DB_USER`` and ``METRICS_DB_PASSWORD``."""
     return {"user": env["METRICS_DB_USER"], "password": env["METRICS_DB_PASSWORD"]}

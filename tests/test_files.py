@@ -65,16 +65,11 @@ def test_null_days_and_flags_survive_a_round_trip(spark, clicks, tmp_path):
     assert [(r["is_anomaly"], r["reason"]) for r in back.collect()] == [(None, "normal")]
 
 
-def test_replacing_touched_partitions_keeps_the_others(spark, clicks, tmp_path):
+def test_a_layer_is_replaced_as_a_whole(spark, clicks, tmp_path):
     path, keys = str(tmp_path / "l"), ("dt", "event_type")
-    both = clicks({"dt": "1", "event_type": "a", "page": "old"}, {"dt": "2", "event_type": "a", "page": "old"})
-    new = clicks({"dt": "2", "event_type": "a", "page": "new"})
-    pages = lambda: {r["dt"]: r["page"] for r in files.read_layer(spark, path, S.CLICK_CURATED).collect()}
-    files.write_layer(both, path, keys)
-    files.write_layer(new, path, keys, "touched")
-    assert pages() == {"1": "old", "2": "new"}
-    files.write_layer(new, path, keys)
-    assert pages() == {"2": "new"}
+    files.write_layer(clicks({"dt": "1", "event_type": "a", "page": "old"}, {"dt": "2", "event_type": "a"}), path, keys)
+    files.write_layer(clicks({"dt": "2", "event_type": "b", "page": "new"}), path, keys)
+    assert [(r["dt"], r["page"]) for r in files.read_layer(spark, path, S.CLICK_CURATED).collect()] == [("2", "new")]
 
 
 def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
