@@ -1,11 +1,10 @@
 """Streams that store what adds up, so that reading them equals the batch form.
 
-Each micro-batch is a small batch job: it writes its own sums, or its own new
-rows, to a folder of its number. There is no event-time state and no watermark,
-so late rows and rows without a time count like any other. A repeated batch
-replaces its folder. ``run`` names all restarts from one checkpoint and grows
-with every fresh start: a fresh start reads all input again, and its sums replace
-those of earlier runs as a whole.
+Each micro-batch is a small batch job: it writes its own sums to a folder of its
+number. There is no event-time state and no watermark, so late rows and rows
+without a time count like any other. A repeated batch replaces its folder. Which
+batches readers see, also while a fresh start reads all input again, is the
+business of :mod:`gatetally.streaming.runs`.
 """
 
 from collections.abc import Callable
@@ -17,12 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gatetally import schemas as S
 from gatetally.functions.rounding import steady_round
-from gatetally.operators.curate import server_requests, with_missing
+from gatetally.operators.curate import server_requests
 from gatetally.operators.logqueries import HOURLY, health_counts, health_of_counts, in_hours
 from gatetally.operators.traffic import Limits, flag_anomalies
-
-RUN, BATCH, DAY, DIGEST = "run", "batch_id", "day", "digest"
-_VERSION = [T.StructField(RUN, T.LongType()), T.StructField(BATCH, T.LongType())]
+from gatetally.streaming import runs
+from gatetally.streaming.sinks import start_batches
 
 SESSION_SUMS = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("dt", "ip", "session_id")]
@@ -53,32 +51,31 @@ def session_sums(curated: DataFrame) -> DataFrame:
     )
 
 
-def sums_writer(summed: Callable[[DataFrame], DataFrame], path: str, run: int) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores the sums of each batch."""
+def sums_writer(
+    summed: Callable[[DataFrame], DataFrame], schema: T.StructType, path: str, run: int
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores the sums of each batch and then records it.
+
+    A batch stands for as much input as its sums count rows (column ``n``).
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        versioned = summed(rows).withColumns({RUN: F.lit(run).cast("bigint"), BATCH: F.lit(batch_id).cast("bigint")})
-        versioned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN, BATCH).parquet(path)
+        runs.store_rows(summed(rows), path, run, batch_id)
+        runs.commit_batch(rows.sparkSession, path, schema, run, batch_id, F.sum("n"))
 
     return write
 
 
-def _start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
-
-
 def store_session_sums(
     curated: DataFrame, path: str, checkpoint: str, run: int = 0, every: str | None = None
 ) -> StreamingQuery:
-    return _start(curated, sums_writer(session_sums, path, run), checkpoint, every)
+    return start_batches(curated, sums_writer(session_sums, SESSION_SUMS, path, run), checkpoint, every)
 
 
-def newest_run(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The stored rows of the latest run; folders of other runs are not read."""
-    stored = spark.read.schema(T.StructType([*schema.fields, *_VERSION])).parquet(path)
-    last = stored.agg(F.max(RUN)).first()[0]
-    return stored.filter(F.col(RUN) == F.lit(last).cast("bigint")).select(*schema.fieldNames())
+def merged_sessions(sums: DataFrame) -> DataFrame:
+    """Session sums of several batches as those of one."""
+    added = [F.sum(c).alias(c) for c in ("n", "bad", "timed", "time")]
+    return sums.groupBy("dt", "ip", "session_id").agg(*added, F.max("slowest").alias("slowest"))
 
 
 def ip_anomalies(spark: SparkSession, path: str, limits: Limits = Limits()) -> DataFrame:
@@ -87,10 +84,7 @@ def ip_anomalies(spark: SparkSession, path: str, limits: Limits = Limits()) -> D
     The sums of all batches meet per session before they meet per address, so a
     session counts once, and a busy address is spread over its sessions.
     """
-    sums = newest_run(spark, path, SESSION_SUMS)
-    per_session = sums.groupBy("dt", "ip", "session_id").agg(
-        *(F.sum(c).alias(c) for c in ("n", "bad", "timed", "time")), F.max("slowest").alias("slowest")
-    )
+    per_session = merged_sessions(runs.newest_run(spark, path, SESSION_SUMS))
     daily = per_session.groupBy("dt", "ip").agg(
         F.sum("n").alias("requests"),
         F.sum("bad").alias("errors"),
@@ -107,57 +101,17 @@ def endpoint_counts(curated: DataFrame) -> DataFrame:
     return health_counts(in_hours(curated), HOURLY)
 
 
+def merged_endpoints(counts: DataFrame) -> DataFrame:
+    """Endpoint counts of several batches as those of one."""
+    return counts.groupBy(*HOURLY, "latency_ms", "status_code").agg(F.sum("n").alias("n"))
+
+
 def store_endpoint_counts(
     curated: DataFrame, path: str, checkpoint: str, run: int = 0, every: str | None = None
 ) -> StreamingQuery:
-    return _start(curated, sums_writer(endpoint_counts, path, run), checkpoint, every)
+    return start_batches(curated, sums_writer(endpoint_counts, ENDPOINT_COUNTS, path, run), checkpoint, every)
 
 
 def endpoint_hourly(spark: SparkSession, path: str) -> DataFrame:
     """Health per hour and path of all that has arrived, exactly as in batch."""
-    stored = newest_run(spark, path, ENDPOINT_COUNTS)
-    counts = stored.groupBy(*HOURLY, "latency_ms", "status_code").agg(F.sum("n").alias("n"))
-    return health_of_counts(counts, HOURLY)
-
-
-def _distinct_schema() -> T.StructType:
-    fields = [*S.CLICK_RAW.fields, T.StructField(DIGEST, T.StringType()), T.StructField(DAY, T.StringType())]
-    return T.StructType([*fields, *_VERSION])
-
-
-def distinct_writer(path: str, run: int) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores the rows of each batch that no other batch has stored.
-
-    Copies agree in every contract column, so also in their day key: rows meet
-    by day and 256-bit digest, and only digests of the batch's days are read.
-    """
-    names = S.CLICK_RAW.fieldNames()
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        text = with_missing(rows, S.CLICK_RAW).select(*names)
-        digest = F.sha2(F.to_json(F.struct(*names)), 256)
-        day = F.coalesce(F.nullif(F.trim("dt"), F.lit("")), F.lit("none"))
-        keyed = text.withColumns({DIGEST: digest, DAY: day}).dropDuplicates([DAY, DIGEST])
-        stored = rows.sparkSession.read.schema(_distinct_schema()).parquet(path)
-        own = (F.col(RUN) == run) & (F.col(BATCH) >= batch_id)
-        seen = stored.filter(~own).select(DAY, DIGEST)
-        fresh = keyed.join(seen, [DAY, DIGEST], "left_anti")
-        versioned = fresh.withColumns({RUN: F.lit(run).cast("bigint"), BATCH: F.lit(batch_id).cast("bigint")})
-        keys = (DAY, RUN, BATCH)
-        versioned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-
-    return write
-
-
-def store_distinct_rows(
-    raw: DataFrame, path: str, checkpoint: str, run: int = 0, every: str | None = None
-) -> StreamingQuery:
-    """Keep one of each set of equal raw rows, however far apart they arrive."""
-    spark = raw.sparkSession
-    spark.createDataFrame([], _distinct_schema()).write.mode("append").partitionBy(DAY, RUN, BATCH).parquet(path)
-    return _start(raw, distinct_writer(path, run), checkpoint, every)
-
-
-def distinct_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The rows that :func:`store_distinct_rows` has kept."""
-    return spark.read.schema(_distinct_schema()).parquet(path).select(*S.CLICK_RAW.fieldNames())
+    return health_of_counts(merged_endpoints(runs.newest_run(spark, path, ENDPOINT_COUNTS)), HOURLY)

@@ -8,10 +8,8 @@ time could not be parsed, which belong to no window.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatetally import schemas as S
-from gatetally.functions import cells as C
 from gatetally.functions.rounding import steady_round
-from gatetally.operators.curate import server_requests, with_missing
+from gatetally.operators.curate import server_requests
 from gatetally.operators.logqueries import health_measures
 from gatetally.operators.traffic import Limits, flag_anomalies
 
@@ -62,8 +60,7 @@ def ip_anomalies_sketched(
 
     Sessions are counted by a sketch of ``2 ** log_size`` cells, so state is one
     row of bounded size per day and address. Counts up to about 1,500 are exact,
-    larger ones off by about 0.8 %. For exact counts store :func:`ip_sessions`
-    and read it through :func:`ip_anomalies_of`.
+    larger ones off by about 0.8 %. Exact counts: :func:`additive.ip_anomalies`.
     """
     requests, keys = _by_day(curated, lateness)
     daily = requests.groupBy(*keys).agg(
@@ -106,32 +103,3 @@ def ip_anomalies_closed(curated: DataFrame, limits: Limits = Limits(), lateness:
     over its sessions.
     """
     return _over_sessions(_session_sums(curated, lateness), limits)
-
-
-SESSION_KEYS = ["day", "ip", "session_id"]
-
-
-def ip_sessions(curated: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Request sums of the running day per address and session, to be stored
-    with :func:`sinks.upsert_metrics` (update mode)."""
-    return _session_sums(curated, lateness)
-
-
-def ip_anomalies_of(sessions: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Exact anomaly rows from the stored newest sums of :func:`ip_sessions`."""
-    return _over_sessions(sessions, limits)
-
-
-def distinct_rows_stream(raw: DataFrame, lateness: str = LATENESS, spread: int = 16) -> DataFrame:
-    """Raw clickstream without copies that arrive within ``lateness`` of each other.
-
-    Rows are compared by their text, as in the batch form; copies share their
-    time. Streaming de-duplication sends all copies of a row to one task. Copies
-    are therefore first removed per input partition, in up to ``spread`` groups,
-    and only the survivors of each group meet.
-    """
-    key = S.CLICK_RAW.fieldNames()
-    timed = with_missing(raw, S.CLICK_RAW).select(*key, C.instant(F.col("timestamp")).alias("event_ts"))
-    salted = timed.withWatermark("event_ts", lateness).withColumn("_part", F.spark_partition_id() % spread)
-    thinned = salted.dropDuplicatesWithinWatermark([*key, "_part"]).drop("_part")
-    return thinned.dropDuplicatesWithinWatermark(key).drop("event_ts")

@@ -15,6 +15,13 @@ def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def start_batches(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Run a ``foreachBatch`` function on every batch."""
+    return _triggered(df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), every).start()
+
+
 def append_files(
     df: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = (), every: str | None = None
 ) -> StreamingQuery:

@@ -6,7 +6,7 @@ import pytest
 
 from gatetally.operators import curate, logqueries
 from gatetally.sources import files
-from gatetally.streaming import additive
+from gatetally.streaming import additive, digests
 
 
 @pytest.fixture
@@ -54,9 +54,9 @@ def test_copies_in_any_batches_are_stored_once(spark, inbox, tmp_path):
     for rows in ([one, no_time, no_time], [no_time, row(5000)], [one, no_time, row(1)]):
         inbox.put(*rows)
     for run in (0, 1):  # a fresh start over the same files adds nothing
-        query = additive.store_distinct_rows(raw_stream(spark, inbox), path, str(tmp_path / f"state{run}"), run)
+        query = digests.store_distinct_rows(raw_stream(spark, inbox), path, str(tmp_path / f"state{run}"), run)
         query.awaitTermination()
-    got = additive.distinct_rows(spark, path)
+    got = digests.distinct_rows(spark, path)
     batch = curate.distinct_rows(files.read_clickstream(spark, str(inbox.path)))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.select(*got.columns).collect()))
     assert got.count() == 4

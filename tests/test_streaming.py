@@ -77,26 +77,6 @@ def test_closed_hours_equal_the_batch_query_and_late_rows_are_dropped(spark, inb
     assert got.count() == 2
 
 
-def test_copies_are_dropped_within_and_across_batches(spark, inbox, tmp_path):
-    one, two = row(0, session_id="a"), row(1, session_id="b")
-    inbox.put(*[one] * 50, two, one)
-    inbox.put(one, two, row(2))
-    inbox.put(row(120))
-    inbox.put(row(121), row(121), row(121, page="/"))
-    got = drained(spark, live.distinct_rows_stream(raw_stream(spark, inbox)), tmp_path)
-    batch = curate.distinct_rows(files.read_clickstream(spark, str(inbox.path)))
-    assert got.columns == batch.columns == S.CLICK_RAW.fieldNames()
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
-    assert got.count() == 6
-
-
-def test_copies_spread_over_many_files_meet(spark, inbox, tmp_path):
-    for _ in range(6):
-        inbox.put(*[row(0)] * 20)
-    df = live.distinct_rows_stream(raw_stream(spark, inbox, per_batch=6), spread=4)
-    assert drained(spark, df, tmp_path).count() == 1
-
-
 def busy(minute, n, **more):
     return [row(minute + i / 60, session_id=f"s{i % 3}", **more) for i in range(n)]
 
@@ -120,21 +100,21 @@ def test_closed_days_are_exact(spark, inbox, tmp_path):
     same(got, wanted)
 
 
-def test_running_days_are_exact_and_a_rerun_changes_nothing(spark, inbox, tmp_path):
+def test_upserted_rows_are_the_newest_after_a_rerun_and_compaction(spark, inbox, tmp_path):
     inbox.put(*busy(10, 60))
-    inbox.put(*busy(600, 45), row(700, ip="2.2.2.2", session_id=None))
-    sessions = live.ip_sessions(stream(spark, inbox))
+    inbox.put(*busy(600, 45), row(700, ip="2.2.2.2", session_id="s"))
+    df = live.ip_anomalies_sketched(stream(spark, inbox))
     path = str(tmp_path / "metric")
 
     def newest(state):
-        sinks.upsert_metrics(sessions, path, str(tmp_path / state)).awaitTermination()
-        return live.ip_anomalies_of(sinks.latest_metrics(spark, path, sessions.schema, live.SESSION_KEYS))
+        sinks.upsert_metrics(df, path, str(tmp_path / state)).awaitTermination()
+        return sinks.latest_metrics(spark, path, df.schema, ["dt", "ip"])
 
     same(newest("first"), batch_days(spark, inbox))
     same(newest("second"), batch_days(spark, inbox))
     inbox.put(*busy(800, 5, ip="3.3.3.3"))
     same(newest("second"), batch_days(spark, inbox))
-    sinks.compact_metrics(spark, path, str(tmp_path / "compact"), sessions.schema, live.SESSION_KEYS)
+    sinks.compact_metrics(spark, path, str(tmp_path / "compact"), df.schema, ["dt", "ip"])
     path = str(tmp_path / "compact")
     inbox.put(*busy(900, 5, ip="3.3.3.3"))
     same(newest("second"), batch_days(spark, inbox))
