@@ -14,7 +14,9 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
+    # Queries over the corpus that SQL cannot express are tested in tests/llm.
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from gatetally import schemas as S
 
 TENANT = "t1"
+# The fault texts of the input files ("10-04-2026", "2026/04/10", "not-a-date", "one thousand",
+# "N/A", "free", "999999", "9999999", "-9.99", "paypal") stand where they are placed below.
 # Fixed value: the pages of the web site.
 PAGES = ("/", "/events.html", "/event_detail.html", "/checkout.html", "/purchase_ok.html")
 

@@ -440,3 +440,62 @@ for _name in ("stream_ip_anomalies", "stream_metric_upsert"):
     ORACLES[_name] = ORACLES["anomalies"]
 ORACLES["stream_endpoint_hourly_stored"] = ORACLES["q3_endpoint_hourly"]
 ORACLES["stream_dedup"] = f"{DISTINCT_COPIES}\nSELECT {CLICK_SHOWN} FROM click"
+ORACLES["stream_tail"] = ORACLES["scan_jsonl"]
+ORACLES["stream_attribution"] = ORACLES["session_attribution"]
+_oracle(
+    "stream_endpoint_percentiles",
+    ["click"],
+    f"""
+SELECT request_path, count(*) AS requests, {_rounded('avg(latency_ms)', 6)} AS avg_latency_ms,
+       max(status_code) AS max_status, TRUE AS p95_near
+FROM click WHERE event_type = 'server_request' AND request_path IS NOT NULL GROUP BY request_path""",
+)
+
+# Days replaced, open fields, campaign periods
+ODD = "substr(dt, 10, 1) IN ('1', '3', '5', '7', '9')"
+FAILED = f"(SELECT * FROM click WHERE event_type = 'server_request' AND ip IS NOT NULL AND status_code >= 500 AND {ODD})"
+_oracle(
+    "days_replaced",
+    ["click"],
+    f"SELECT * FROM {_flagged(_traffic('ip'))} WHERE ({ODD}) IS NOT TRUE"
+    f" UNION ALL SELECT * FROM {_flagged(_traffic('ip', FAILED))}",
+)
+_oracle(
+    "open_fields_curated",
+    ["click"],
+    """
+SELECT dt, session_id, event_type,
+       CASE WHEN referrer IS NOT NULL THEN '{"plan":{"tier":' || length(page) || '},"score":'
+         || length(COALESCE(ip, '')) || '}' END AS extra,
+       CASE WHEN referrer IS NOT NULL THEN length(page)::INT END AS tier,
+       CASE WHEN referrer IS NOT NULL THEN length(COALESCE(ip, ''))::INT END AS score
+FROM click""",
+)
+ORACLES["malformed_lines"] = (
+    """SELECT '{"student_id": "t1", "page": "' || event_id AS malformed FROM events WHERE event_id % 97 = 0"""
+)
+_oracle(
+    "campaign_periods",
+    ["click", "campaign"],
+    f"""
+SELECT campaign_id, utm_campaign, channel, active_from::VARCHAR AS active_from, active_to::VARCHAR AS active_to, cost,
+       count(day) AS events, count(*) FILTER (event_type = 'purchase') AS purchases, revenue_total,
+       {_rounded('revenue_total - cost', 2)} AS net_revenue, {_rounded('revenue_total / NULLIF(cost, 0)', 6)} AS revenue_per_cost
+FROM (
+  SELECT *, {_rounded("COALESCE(sum(amount) FILTER (event_type = 'purchase') OVER "
+                      "(PARTITION BY campaign_id, utm_campaign, channel, active_from, active_to, cost), 0)", 2)} AS revenue_total
+  FROM (
+    SELECT p.*, (SELECT {_rounded('sum(p.monthly_cost / day(last_day(d)))', 2)}
+                 FROM (SELECT unnest(generate_series(p.active_from, p.active_to, INTERVAL 1 DAY)) AS d)) AS cost
+    FROM (
+      SELECT DISTINCT campaign_id, utm_campaign, channel, monthly_cost,
+             greatest(COALESCE(start_day, DATE '2024-01-03'), DATE '2024-01-03') AS active_from,
+             least(COALESCE(end_day, DATE '2024-02-15'), DATE '2024-02-15') AS active_to
+      FROM (SELECT *, CASE WHEN campaign_id::INT % 4 <> 0 THEN DATE '2024-01-01' + campaign_id::INT % 20 END AS start_day,
+                   CASE WHEN campaign_id::INT % 5 <> 0 AND campaign_id::INT % 6 <> 0
+                        THEN DATE '2024-01-10' + campaign_id::INT % 30 END AS end_day FROM campaign)) AS p
+    WHERE active_from <= active_to) AS c
+  LEFT JOIN (SELECT utm_campaign AS key, TRY_CAST(dt AS DATE) AS day, event_type, amount FROM {CLIENT}) AS e
+    ON e.key = c.utm_campaign AND e.day BETWEEN c.active_from AND c.active_to)
+GROUP BY ALL""",
+)

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from gatetally import schemas as S
 from gatetally.functions import cells as C
 from gatetally.functions.rounding import steady_round
-from gatetally.operators import attribution, curate, funnel, interest, joins, logqueries, traffic
+from gatetally.operators import attribution, curate, funnel, interest, joins, logqueries, periods, traffic
 from gatetally.plans import jobs
-from gatetally.session import use_utc
-from gatetally.sources import files, relational
-from gatetally.streaming import additive, live, sinks
+from gatetally.session import stream_session, use_utc
+from gatetally.sources import days, files, open_fields, relational
+from gatetally.streaming import additive, digests, live, sinks, sketches, visits
 from workload import inputs, stages
 from workload.scratch import scratch_dir
 
@@ -69,6 +69,42 @@ def partition_roundtrip(spark, sf_dir):
     return _shown(files.read_layer(spark, path, S.TX_CURATED), "tx_ts")
 
 
+@query
+def days_replaced(spark, sf_dir):
+    """The anomaly metric stored by day, and its odd days replaced by that of failed requests alone."""
+    path, keys = scratch_dir(spark, "days"), S.LAYER_KEYS["metrics_anomalies"]
+    clicks = stages.clicks(spark, sf_dir)
+    daily = traffic.anomalies(clicks, ordered=False)
+    days.write_days(daily, path, keys)
+    odd = F.substring("dt", 10, 1).isin("1", "3", "5", "7", "9")
+    named = [r["dt"] for r in daily.filter(odd).select("dt").distinct().collect()]
+    failed = traffic.anomalies(clicks.filter(odd & (F.col("status_code") >= 500)), ordered=False)
+    days.write_days(failed, path, keys, named)
+    return files.read_layer(spark, path, S.ANOMALY)
+
+
+@query
+def open_fields_curated(spark, sf_dir):
+    """Fields outside the contract, in the rows that have a referrer."""
+    path = scratch_dir(spark, "open-fields")
+    stages.open_lines(spark, sf_dir).write.text(path)
+    rows = curate.curate_clickstream(open_fields.read_open(spark, path), inputs.TENANT)
+    return rows.select(
+        "dt",
+        "session_id",
+        "event_type",
+        F.to_json("extra").alias("extra"),
+        F.try_variant_get("extra", "$.plan.tier", "int").alias("tier"),
+        F.try_variant_get("extra", "$.score", "int").alias("score"),
+    )
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    path = files.layer_path(stages.raw_base(spark, sf_dir), "raw", "clickstream/*.jsonl")
+    return open_fields.malformed_lines(open_fields.read_open(spark, path)).select("malformed")
+
+
 def _sunk(df: DataFrame, table: relational.Table) -> DataFrame:
     return relational.sink_frame(df, table).withColumn("dt", F.col("dt").cast("string"))
 
@@ -284,6 +320,18 @@ def campaign_roi(spark, sf_dir):
     return joins.campaign_roi(stages.clicks(spark, sf_dir), stages.campaigns(spark, sf_dir))
 
 
+@query
+def campaign_periods(spark, sf_dir):
+    """Campaigns of one key overlap; some have an open or unreadable end."""
+    number = F.col("campaign_id").cast("int")
+    start = F.when(number % 4 != 0, F.date_add(F.lit("2024-01-01").cast("date"), number % 20).cast("string"))
+    end = F.when(number % 5 == 0, None).when(number % 6 == 0, "later")
+    end = end.otherwise(F.date_add(F.lit("2024-01-10").cast("date"), number % 30).cast("string"))
+    planned = stages.campaigns(spark, sf_dir).withColumns({"start_dt": start, "end_dt": end})
+    found = periods.campaign_periods(stages.clicks(spark, sf_dir), planned, "2024-01-03", "2024-02-15")
+    return found.withColumns({c: F.col(c).cast("string") for c in ("active_from", "active_to")})
+
+
 @query
 def purchase_reconcile(spark, sf_dir):
     return joins.purchase_reconcile(stages.clicks(spark, sf_dir), stages.sales(spark, sf_dir))
@@ -462,10 +510,53 @@ def stream_ip_anomalies_sketched(spark, sf_dir):
     return sinks.latest_metrics(spark, path, days.schema, ["dt", "ip"])
 
 
+@query
+def stream_tail(spark, sf_dir):
+    """Lines of files followed by position, in two runs; files come between them."""
+    path, out, state = (scratch_dir(spark, f"stream-tail{x}") for x in ("", "-out", "-checkpoint"))
+    lines = stages.json_lines(spark, sf_dir)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (lines.filter(first), lines.filter(~first)):
+        part.write.mode("append").text(path)
+        rows = files.tail_clickstream(stream_session(spark), path, split_bytes=1 << 18)
+        sinks.append_files(rows, out, state).awaitTermination()
+    return spark.read.schema(S.CLICK_RAW).parquet(out)
+
+
+@query
+def stream_attribution(spark, sf_dir):
+    """Events in any order over several batches; later ones correct earlier ones."""
+    path = scratch_dir(spark, "stream-visits")
+    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    visits.store_attribution(stream, path, scratch_dir(spark, "stream-visits-checkpoint"), "400 days").awaitTermination()
+    raw = files.layer_path(stages.raw_base(spark, sf_dir), "raw", "clickstream/*.jsonl")
+    curated = curate.curate_clickstream(files.read_clickstream(spark, raw), inputs.TENANT)
+    told = visits.attributed(spark, path, curated).select(
+        "session_id", "event_ts", "event_type", "event_id", "attr_campaign", "attr_referrer", "first_seen_ts"
+    )
+    return _shown(told, "event_ts", "first_seen_ts")
+
+
+@query
+def stream_endpoint_percentiles(spark, sf_dir):
+    """Sketches of several batches and all hours merged by path; ``p95_near`` tells that the rank is right."""
+    path = scratch_dir(spark, "stream-sketches")
+    stream = stages.click_stream(spark, sf_dir, files_per_batch=2)
+    sketches.store_endpoint_sketches(stream, path, scratch_dir(spark, "stream-sketches-checkpoint")).awaitTermination()
+    health = sketches.endpoint_percentiles(spark, path, (95,))
+    timed = stages.clicks(spark, sf_dir).filter("event_type = 'server_request' AND latency_ms IS NOT NULL")
+    joined = timed.join(health.select("request_path", "p95_latency_ms"), "request_path")
+    share = F.count_if(F.col("latency_ms") <= F.col("p95_latency_ms")) / F.count("*")
+    below = F.count_if(F.col("latency_ms") < F.col("p95_latency_ms")) / F.count("*")
+    error = 2.6 / sketches.K
+    ranks = joined.groupBy("request_path").agg(((below <= 0.95 + error) & (share >= 0.95 - error)).alias("p95_near"))
+    return _six(health.join(ranks, "request_path").drop("p95_latency_ms"), "avg_latency_ms")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Copies in different batches, with and without a time."""
     path = scratch_dir(spark, "stream-distinct")
     stream = stages.copies_stream(spark, sf_dir, files_per_batch=2)
-    additive.store_distinct_rows(stream, path, scratch_dir(spark, "stream-distinct-checkpoint")).awaitTermination()
-    return _shown(curate.curate_clickstream(additive.distinct_rows(spark, path), inputs.TENANT), "event_ts")
+    digests.store_distinct_rows(stream, path, scratch_dir(spark, "stream-distinct-checkpoint")).awaitTermination()
+    return _shown(curate.curate_clickstream(digests.distinct_rows(spark, path), inputs.TENANT), "event_ts")

@@ -23,6 +23,15 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(cut_off)
 
 
+def open_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw clickstream as JSON text; rows with a referrer have fields outside the contract."""
+    rows = inputs.clickstream(spark, sf_dir)
+    told = F.col("referrer").isNotNull()
+    plan = F.when(told, F.struct(F.length("page").alias("tier"))).alias("plan")
+    score = F.when(told, F.length(F.coalesce("ip", F.lit("")))).alias("score")
+    return rows.select(F.to_json(F.struct(*rows.columns, plan, score)).alias("value"))
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
     keep = {"header": True, "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.options(**keep).csv(path)
