@@ -16,17 +16,17 @@ component.
    the overlap. Each bucket is an R-tree over its points whose boxes hold the
    largest counts and the range of set sizes; a join of the tree with itself
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
-4. Round one takes for each node the best partner in each bucket and bounds it
-   again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
-   (whether or not the best one passed the finer bound) and with ``FINE`` groups,
-   takes all pairs that pass in different components of round one's links: in a
-   group of thousands of near copies most pairs are joined by then, and the finer
-   bound leaves out most that do not link. All are verified on their texts.
+4. Round one takes for each node the best partner in each bucket. Round two, over all
+   nodes with a partner in the tree (whether or not the best one links), takes for any two components of round one's links the best pair that passes in a
+   bucket. Round three takes all pairs that still pass between different components.
+   In a group of thousands of near copies nearly all pairs are joined before round
+   three, so it is not all pairs of a group that are made, and no link is left out.
+   All are verified on their texts.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks: round one looks into
-each block, round two into each pair of blocks, as separate rows of the shuffle.
-All nodes of such a bucket enter round two, as round one may not have met their
-partners. So no task gathers more than two blocks. Links become components by aggregations
+each block, the later rounds into each pair of blocks, as separate rows of the
+shuffle. All nodes of such a bucket enter the later rounds, as round one may not
+have met their partners. So no task gathers more than two blocks. Links become components by aggregations
 and joins; nothing but the order's table, of at most ``1 << SKETCH_BITS`` counts,
 reaches the driver.
 
@@ -47,17 +47,18 @@ from pyspark.sql import functions as F
 
 from gatetally.llm.bytehash import NOT_SPACE, Hashed, joined, lowered, mixed, runs
 from gatetally.llm.components import components
-from gatetally.llm.shared import documents, stored, whole_text
+from gatetally.llm.shared import documents, returning, stored, whole_text
 from gatetally.llm.wordmemo import chunks
 
 #: Words of a shingle, least similarity in percent.
 WORDS, PERCENT = 4, 85
-#: Groups of the points in the tree, and of the finer points (a multiple).
-GROUPS, FINE = 64, 256
+#: Groups of the points in the tree.
+GROUPS = 256
 #: Rows of a bucket that may meet in one task, entries of a box, characters taken at once.
 BLOCK, FAN, CHUNK = 4000, 32, 1_500_000
-#: Buckets of the frequency table; those above this many times the mean count as frequent.
-SKETCH_BITS, FREQUENT = 20, 4
+#: Buckets of the frequency table; those above this many times the mean count of a task are frequent,
+#: if it met them so often at least: few texts in a task say nothing about a shingle.
+SKETCH_BITS, FREQUENT, OFTEN = 20, 4, 16
 
 #: Stands for a null doc_id.
 _LAST = (1 << 63) - 1
@@ -173,27 +174,25 @@ class RTree:
 
 
 def _set_batches(bits: int, words: int):
-    """A function for ``mapInArrow``: node, size and points of each text; at the end of a task its frequent buckets."""
+    """A function for ``mapInArrow``: node, size and point of each text; at the end of a task its frequent buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("doc", "crc", "node", "n")])
-        schema = schema.append(pa.field("point", pa.binary())).append(pa.field("fine", pa.binary()))
+        schema = schema.append(pa.field("point", pa.binary()))
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
             texts, docs, crcs = batch.column("text").to_pylist(), batch.column("doc"), batch.column("crc")
             for a, b in chunks(texts, CHUNK):
                 sets = Sets(texts[a:b], words)
                 counts += np.bincount((sets.hashes >> _U(64 - bits)).astype(np.int64), minlength=len(counts))
-                fine = sets.points(FINE)
-                point = fine.reshape(len(fine), -1, GROUPS).sum(1)
                 nodes, sizes = sets.nodes().view(np.int64), sets.sizes.astype(np.int64)
                 columns = [docs.slice(a, b - a), crcs.slice(a, b - a), pa.array(nodes), pa.array(sizes)]
-                columns += [pa.array(packed(point), pa.binary()), pa.array(packed(fine), pa.binary())]
+                columns.append(pa.array(packed(sets.points(GROUPS)), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        some = np.flatnonzero(counts > FREQUENT * counts.mean())
+        some = np.flatnonzero(counts > max(OFTEN, FREQUENT * counts.mean()))
         none = pa.nulls(len(some), pa.binary())
         absent = pa.nulls(len(some), pa.int64())
-        columns = [pa.array(some), absent, absent, pa.array(counts[some]), none, none]
+        columns = [pa.array(some), absent, absent, pa.array(counts[some]), none]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -287,7 +286,11 @@ class Bucket:
                     yield i + first, j + first, bound
 
 
-def _candidate_batches(best_only: bool, percent: int, groups: int):
+#: Which candidate pairs of a bucket go on: the best of each node, the best of each two components, or all.
+NODES, COMPONENTS, ALL = "nodes", "components", "all"
+
+
+def _candidate_batches(pick: str, percent: int, groups: int):
     """A function for ``mapInArrow`` over rows sorted by bucket: candidate pairs of nodes."""
 
     def found(table: pa.Table) -> pa.RecordBatch:
@@ -295,17 +298,24 @@ def _candidate_batches(best_only: bool, percent: int, groups: int):
         parts = [x for x in rows.pairs(percent) if len(x[0])]
         none = np.zeros(0, np.int64)
         i, j, bound = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (none, none, none)
-        if best_only and len(i):
+        share = bound / needed(rows.n[i], rows.n[j], percent)
+        if pick == COMPONENTS and len(i):
+            low, high = np.minimum(rows.label[i], rows.label[j]), np.maximum(rows.label[i], rows.label[j])
+            order = np.lexsort((rows.node[j], rows.node[i], -share, high, low))
+            low, high = low[order], high[order]
+            new = np.ones(len(i), bool)
+            new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            i, j = i[order][new], j[order][new]
+        if pick == NODES and len(i):
             # For each row the partner with the largest share of the needed overlap.
-            share = bound / needed(rows.n[i], rows.n[j], percent)
             i, j, share = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([share, share])
             order = np.lexsort((rows.node[j], -share, i))
             i, j = i[order], j[order]
             new = np.ones(len(i), bool)
             new[1:] = i[1:] != i[:-1]
             i, j = i[new], j[new]
-        if best_only:
-            # A node of a bucket in several blocks is paired with itself, so that round two has it.
+        if pick == NODES:
+            # A node of a bucket in several blocks is paired with itself, so that the later rounds have it.
             cut = np.flatnonzero(rows.cut)
             i, j = np.concatenate([i, cut]), np.concatenate([j, cut])
         u, v = np.minimum(rows.node[i], rows.node[j]), np.maximum(rows.node[i], rows.node[j])
@@ -336,21 +346,6 @@ def _candidate_batches(best_only: bool, percent: int, groups: int):
     return run
 
 
-def _bound_batches(percent: int):
-    """A function for ``mapInArrow``: pairs whose finer points pass."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (unpacked(batch.column(c).to_pylist(), FINE) for c in ("fine_u", "fine_v"))
-            least = needed(*(batch.column(c).to_numpy() for c in ("n_u", "n_v")), percent)
-            ok = pa.array(np.minimum(a, b).sum(1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("u").filter(ok), batch.column("v").filter(ok)], names=["u", "v"])
-
-    return run
-
-
 def _verify_batches(percent: int, words: int):
     """A function for ``mapInArrow``: pairs whose texts link."""
 
@@ -373,11 +368,11 @@ def _verify_batches(percent: int, words: int):
 
 
 def _candidates(
-    shared: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, best_only: bool
+    shared: DataFrame, nodes: DataFrame, percent: int, block: int, pick: str
 ) -> DataFrame:
     """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound.
 
-    With ``best_only``, the best of each node in each block, and (u, u) for nodes of buckets in several blocks.
+    Those that ``pick`` names; with ``NODES`` within each block, and (u, u) for nodes of buckets in several blocks.
     """
     rows = shared.join(nodes, "node")
     crowd = rows.groupBy("token").agg(
@@ -385,7 +380,7 @@ def _candidates(
     )
     mixed_ = crowd.where("low <> high").select("token", F.ceil(F.col("m") / block).cast("int").alias("parts"))
     dealt = rows.join(mixed_, "token").withColumn("part", F.pmod(F.xxhash64("node", "token"), "parts").cast("int"))
-    if best_only:
+    if pick == NODES:
         dealt = dealt.withColumn("lo", F.col("part")).withColumn("hi", F.col("part"))
     else:
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -394,13 +389,7 @@ def _candidates(
     columns = ["token", "lo", "hi", "part", "parts", "node", "n", "label", "point"]
     keys = ["token", "lo", "hi"]
     in_order = dealt.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return in_order.mapInArrow(_candidate_batches(best_only, percent, groups), "u long, v long").distinct()
-
-
-def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that pass by the finer points as well."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_bound_batches(percent), "u long, v long")
+    return in_order.mapInArrow(returning(_candidate_batches(pick, percent, GROUPS)), "u long, v long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -420,43 +409,44 @@ def similar(
     """Documents (doc, crc, node, n), and the component's label of every node that has a candidate."""
     spark = docs.sparkSession
     rows = docs.select(*row_name(), whole_text().alias("text"))
-    out = "doc long, crc long, node long, n long, point binary, fine binary"
-    found = stored(rows.mapInArrow(_set_batches(SKETCH_BITS, words), out), "sets")
+    out = "doc long, crc long, node long, n long, point binary"
+    found = stored(rows.mapInArrow(returning(_set_batches(SKETCH_BITS, words)), out), "sets")
     members = found.where("node is not null")
     heavy = found.where("node is null").groupBy("doc").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(1 << SKETCH_BITS, np.int64)
     table[heavy["doc"].to_numpy(np.int64)] = heavy["n"].to_numpy(np.int64)
     frequent = spark.sparkContext.broadcast(table)
-    prefixes = rows.mapInArrow(_prefix_batches(frequent, SKETCH_BITS, percent, words), "token long, node long")
+    prefixes = rows.mapInArrow(returning(_prefix_batches(frequent, SKETCH_BITS, percent, words)), "token long, node long")
     in_order = prefixes.repartition("token").sortWithinPartitions("token", "node")
     shared = stored(in_order.mapInArrow(_shared_batches, "token long, node long"), "shared")
-    nodes = members.groupBy("node").agg(
-        F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")
-    )
+    nodes = members.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"))
     alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
-    first = stored(_candidates(shared, alone, percent, block, GROUPS, True), "pairs")
-    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here, before the finer bound;
-    # only those need their texts.
+    first = stored(_candidates(shared, alone, percent, block, NODES), "pairs")
+    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here; only those need their texts.
     used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
     sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = sources.select("node", "row.doc", "row.crc")
     texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent, words), "links")
+    links = stored(_verified(first.where("u <> v"), texts, percent, words), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
-        "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
+        "node", "n", "point", F.coalesce("label", "node").alias("label")
     )
     joined_nodes = stored(joined_nodes, "nodes")
-    second = _candidates(shared, joined_nodes, percent, block, FINE, False)
-    more = _verified(second, texts, percent, words)
-    # Links of round two join whole components, so only the components' labels go on.
-    names = joined_nodes.select("node", "label")
-    end = lambda x, name: names.select(F.col("node").alias(x), F.col("label").alias(name))
-    across = more.join(end("u", "a"), "u").join(end("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    for pick in (COMPONENTS, ALL):
+        more = _verified(_candidates(shared, joined_nodes, percent, block, pick), texts, percent, words)
+        joined_nodes = stored(_relabelled(joined_nodes, more), "nodes")
+    return members.select("doc", "crc", "node", "n"), joined_nodes.select("node", "label")
+
+
+def _relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with the labels of the components that ``links`` make of theirs; only labels go into the merging."""
+    end = lambda x, name: nodes.select(F.col("node").alias(x), F.col("label").alias(name))
+    across = links.join(end("u", "a"), "u").join(end("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
     merged = components(stored(across.distinct(), "across"))
     merged = merged.select(F.col("node").alias("label"), F.col("label").alias("last"))
-    final = names.join(merged, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
-    return members.select("doc", "crc", "node", "n"), final
+    joined_ = nodes.join(merged, "label", "left")
+    return joined_.select("node", "n", "point", F.coalesce("last", "label").alias("label"))
 
 
 def _labelled(docs: DataFrame, percent: int, block: int, words: int = WORDS) -> DataFrame:
