@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatetally.llm.shared import documents, whole_text
+from gatetally.llm.shared import documents, returning, whole_text
 from gatetally.llm.wordmemo import chunks, sums_by_text
 
 #: Shortest repeated substring that counts, in words.
@@ -202,7 +202,7 @@ def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns, in one narrow step."""
-    return docs.mapInArrow(_kept_batches, docs.schema)
+    return docs.mapInArrow(returning(_kept_batches), docs.schema)
 
 
 def quality_rules(docs: DataFrame, key: str = "doc_id", min_repeat: int = MIN_REPEAT) -> DataFrame:

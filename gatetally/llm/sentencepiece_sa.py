@@ -13,7 +13,8 @@ of pieces is that result exactly if every two neighbours, merged by themselves,
 stay these two pieces: no merge ever crosses a boundary of the result, and
 merges on either side of a boundary do not depend on each other. Each prefix has
 one encoding, so of the edges into a position exactly one fits the last piece at
-its start. Whether two pieces fit is worked out once and kept in a bit table.
+its start. Whether two pieces fit is worked out when first asked and kept in a table of
+fixed size, in which a later pair may take the place of an earlier one.
 
 A character that is no piece becomes the pieces of its bytes. Decoding joins the
 bytes of the pieces and drops the blank that encoding puts in front.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from gatetally.llm.bpe_counts import MODEL, merged, piece_ranks
 from gatetally.llm.segments import SIGN, segment_keys, segment_of
-from gatetally.llm.shared import documents, whole_text
+from gatetally.llm.shared import documents, returning, whole_text
 from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
 
 #: Characters packed into one 60-bit key, and their width; the codes of a vocabulary must fit.
@@ -46,6 +47,8 @@ _PACK, _BITS = 5, 12
 INDEX, CHUNK = 250_000, 1_000_000
 #: Segments whose ids a worker remembers (about 200 bytes each).
 REMEMBERED = 200_000
+#: Places for pairs of pieces (8 bytes each).
+PAIRS = 1 << 20
 
 
 def _packed(codes: np.ndarray) -> np.ndarray:
@@ -101,8 +104,7 @@ class Vocabulary:
         shifts = 1 << (_BITS * np.arange(_PACK - 1, -1, -1, dtype=np.int64))
         self.keys = (table.reshape(-1, self.blocks, _PACK) * shifts).sum(2)
         self.alone = np.array([len(merged(p, self.ranks)[0]) == 1 for p in self.pieces])
-        size = len(self.pieces) ** 2 // 8 + 1
-        self._known, self._fits = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        self._pairs = np.full(PAIRS, -1, np.int64)  # twice the pair's number, plus one if it fits
         self.lookup = np.zeros(0x110000, np.int16)
         for c, i in self.codes.items():
             self.lookup[ord(c)] = i
@@ -136,14 +138,17 @@ class Vocabulary:
     def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pieces ``left`` and ``right``, merged by themselves, stay two."""
         key = left * len(self.pieces) + right
-        byte, bit = key >> 3, (key & 7).astype(np.uint8)
-        new = np.unique(key[(self._known[byte] >> bit) & 1 == 0])
-        for k in new.tolist():
-            a, b = self.pieces[k // len(self.pieces)], self.pieces[k % len(self.pieces)]
-            self._known[k >> 3] |= 1 << (k & 7)
-            if merged(a + b, self.ranks)[0] == [a, b]:
-                self._fits[k >> 3] |= 1 << (k & 7)
-        return (self._fits[byte] >> bit) & 1 == 1
+        place = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % PAIRS
+        held = self._pairs[place]
+        fit = held & 1 == 1
+        missed = np.flatnonzero(held >> 1 != key)
+        if len(missed):
+            new, back = np.unique(key[missed], return_inverse=True)
+            pairs = [(self.pieces[k // len(self.pieces)], self.pieces[k % len(self.pieces)]) for k in new.tolist()]
+            good = np.array([merged(a + b, self.ranks)[0] == [a, b] for a, b in pairs], bool)
+            fit[missed] = good[back]
+            self._pairs[place[missed]] = 2 * key[missed] + good[back]
+        return fit
 
     def encode(self, segments: list[str]) -> list[bytes]:
         """Ids of each segment, as runs of 32-bit numbers."""
@@ -288,7 +293,7 @@ def encoded(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     rows = docs.select(F.col(key), whole_text().alias("text"))
     kind = rows.schema[key].dataType.simpleString()
     return rows.mapInArrow(
-        _encode_batches(path, key), f"`{key}` {kind}, n_tokens long, ids array<int>, roundtrip boolean"
+        returning(_encode_batches(path, key)), f"`{key}` {kind}, n_tokens long, ids array<int>, roundtrip boolean"
     )
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +21,14 @@ _own_folder: list[str] = []
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder that the session names.
 
-    The folder is ``spark.checkpoint.dir``. Where a session leaves that unset
-    (single-machine tests), one temporary folder serves for the whole process.
+    The folder is ``spark.checkpoint.dir``. Where a session on a single machine leaves
+    that unset, as in tests, one temporary folder serves for the whole process; on a
+    cluster, where each machine would write to its own disk, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="corpus-"))
         base = _own_folder[0]
@@ -57,6 +64,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def returned() -> None:
+    """Give memory that a task has freed back to the system: idle workers of an executor share its memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def returning(run):
+    """``run``, a function for ``mapInArrow``, that gives memory back at the end of a task."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        returned()
+
+    return whole
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table ``documents``; the package goes to the executors that will read it."""
     ship(spark)

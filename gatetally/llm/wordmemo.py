@@ -8,7 +8,7 @@ import numpy as np
 
 
 class WordMemo:
-    """Maps words to runs of token ids; forgets all words once it holds ``limit``.
+    """Maps words to runs of token ids; holding ``limit`` words, it forgets the half not used for longest.
 
     ``encode`` gets a list of distinct words and returns the ids of each as the
     bytes of 32-bit numbers. Runs lie in one flat array, so that the ids of many
@@ -21,6 +21,8 @@ class WordMemo:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.used_at = np.zeros(1024, np.int64)
+        self.clock = 0
         self.starts = np.zeros(1024, np.int64)
         self.lengths = np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.int32)
@@ -40,8 +42,8 @@ class WordMemo:
         new = set(words).difference(self.index)
         if new:
             if len(self.index) + len(new) > self.limit and self.index:
-                self._clear()
-                new = set(words)
+                self._forget(words)
+                new = set(words).difference(self.index)
             fresh = list(new)
             runs = self.encode(fresh)
             lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
@@ -51,10 +53,32 @@ class WordMemo:
             )
             last = first + len(fresh)
             self._room("lengths", last)[first:last] = lengths
+            self._room("used_at", last)
             self._room("starts", last)[first:last] = self.used + np.cumsum(lengths) - lengths
             self.used += total
             self.index.update(zip(fresh, range(first, last), strict=True))
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        slots = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.clock += 1
+        self.used_at[slots] = self.clock
+        return slots
+
+    def _forget(self, words: list[str]) -> None:
+        """Keep the half that was used last, those of ``words`` among it; all go if that leaves no room."""
+        self.clock += 1
+        asked = [self.index[w] for w in set(words) if w in self.index]
+        self.used_at[asked] = self.clock
+        n, keep = len(self.index), self.limit // 2
+        kept = np.sort(np.argsort(-self.used_at[:n], kind="stable")[:keep])
+        names, flat, lengths, used_at = list(self.index), *self.ids(kept), self.used_at[kept]
+        clock = self.clock
+        self._clear()
+        self.clock = clock
+        self.index = {names[i]: slot for slot, i in enumerate(kept.tolist())}
+        self._room("flat", len(flat))[: len(flat)] = flat
+        self._room("lengths", len(kept))[: len(kept)] = lengths
+        self._room("starts", len(kept))[: len(kept)] = np.cumsum(lengths) - lengths
+        self._room("used_at", len(kept))[: len(kept)] = used_at
+        self.used = len(flat)
 
     def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words in ``slots``, end to end, and each word's number of ids."""

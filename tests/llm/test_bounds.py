@@ -1,0 +1,114 @@
+"""Rows that operator 4 makes, and the bounded tables of operator 1."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from gatetally.llm import bpe_counts, count_rtree, sentencepiece_sa, shared
+from gatetally.llm.wordmemo import WordMemo, as_runs
+
+from .conftest import SCHEMA, rows_of
+
+PIECES = public_tokenizers.path(bpe_counts.MODEL)
+
+
+def prose(rng, words, n):
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_rows_of_the_set_step_do_not_grow_with_the_number_of_tasks(spark):
+    rng = random.Random(1)
+    words = [f"w{n}" for n in range(5000)]
+    docs = spark.createDataFrame([(n, prose(rng, words, 60), None, None, 1) for n in range(2000)], SCHEMA)
+    out = "doc long, crc long, node long, n long, point binary"
+
+    def made(parts):
+        rows = docs.repartition(parts).select(*count_rtree.row_name(), "text")
+        batches = count_rtree._set_batches(count_rtree.SKETCH_BITS, count_rtree.WORDS)
+        return rows.mapInArrow(batches, out).count()
+
+    assert made(4) <= 2100 and made(200) <= 2100
+
+
+def near_copies(spark, n):
+    rng = random.Random(2)
+    words = [f"w{k}" for k in range(5000)]
+    base = prose(rng, words, 300).split()
+    rows = []
+    for k in range(n):
+        copy = list(base)
+        for _ in range(3):
+            copy[rng.randrange(300)] = rng.choice(words)
+        rows.append((k, " ".join(copy), None, None, 1))
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def test_candidates_of_a_group_of_near_copies_grow_with_its_rows(spark, monkeypatch):
+    counts = []
+    candidates = count_rtree._candidates
+
+    def counted(*args):
+        pairs = shared.stored(candidates(*args), "counted")
+        counts[-1] += pairs.count()
+        return pairs
+
+    monkeypatch.setattr(count_rtree, "_candidates", counted)
+    for n in (200, 1000):
+        counts.append(0)
+        found = count_rtree.shingle_components(near_copies(spark, n))
+        assert found.select("component_id").distinct().count() == 1
+    assert counts[1] <= 8 * counts[0]
+
+
+def test_all_components_of_variants_meet(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    base = prose(rng, words, 12)
+    rows = [(n, f"{base} x{n}", None, None, 1) for n in range(400)] + [(1000, base, None, None, 1)]
+    rows += [(2000 + n, prose(rng, words, 40), None, None, 1) for n in range(100)]
+    found = dict(rows_of(count_rtree.shingle_components(spark.createDataFrame(rows, SCHEMA), block=50), "doc_id", "component_id"))
+    assert all(found[n] == 0 for n in [*range(400), 1000])
+    assert all(found[n] == n for n in range(2000, 2100))
+
+
+@pytest.mark.parametrize("limit", [3, 10, 1000])
+def test_a_memo_forgets_the_words_not_used_for_longest(limit):
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        sizes = [len(w) for w in words]
+        flat = np.concatenate([np.full(len(w), int(w)) for w in words])
+        return as_runs(flat, np.array(sizes))
+
+    memo, rng = WordMemo(encode, limit), random.Random(limit)
+    for _ in range(300):
+        words = [str(rng.randint(1, 40)) for _ in range(rng.randint(1, 8))]
+        ids, lengths = memo.ids(memo.slots(words))
+        assert lengths.tolist() == [len(w) for w in words]
+        assert ids.tolist() == [int(w) for w in words for _ in w]
+        assert len(memo.index) <= max(limit, 8 + limit // 2)
+    assert len(asked) == 40 if limit == 1000 else len(asked) > 40
+
+
+def test_pairs_that_lose_their_place_are_worked_out_again(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdeé ") for _ in range(60)) for _ in range(200)]
+    want = sentencepiece_sa.Vocabulary(PIECES).encode_keys(texts)
+    monkeypatch.setattr(sentencepiece_sa, "PAIRS", 7)
+    assert sentencepiece_sa.Vocabulary(PIECES).encode_keys(texts) == want
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_folder(Session(), "x")
+    assert shared.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
