@@ -16,8 +16,10 @@ component.
    the overlap. Each bucket is an R-tree over its points whose boxes hold the
    largest counts and the range of set sizes; a join of the tree with itself
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
-4. Round one takes for each node the best partner in each bucket. Round two, over all
-   nodes with a partner in the tree (whether or not the best one links), takes for any two components of round one's links the best pair that passes in a
+4. Round one takes for each node the best partner in each bucket and bounds it
+   again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
+   (whether or not the best one passed the finer bound) and with ``FINE`` groups,
+   takes for any two components of round one's links the best pair that passes in a
    bucket. Round three takes all pairs that still pass between different components.
    In a group of thousands of near copies nearly all pairs are joined before round
    three, so it is not all pairs of a group that are made, and no link is left out.
@@ -52,8 +54,8 @@ from gatetally.llm.wordmemo import chunks
 
 #: Words of a shingle, least similarity in percent.
 WORDS, PERCENT = 4, 85
-#: Groups of the points in the tree.
-GROUPS = 256
+#: Groups of the points in the tree, and of the finer points (a multiple).
+GROUPS, FINE = 64, 256
 #: Rows of a bucket that may meet in one task, entries of a box, characters taken at once.
 BLOCK, FAN, CHUNK = 4000, 32, 1_500_000
 #: Buckets of the frequency table; those above this many times the mean count of a task are frequent,
@@ -174,25 +176,27 @@ class RTree:
 
 
 def _set_batches(bits: int, words: int):
-    """A function for ``mapInArrow``: node, size and point of each text; at the end of a task its frequent buckets."""
+    """A function for ``mapInArrow``: node, size and points of each text; at the end of a task its frequent buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("doc", "crc", "node", "n")])
-        schema = schema.append(pa.field("point", pa.binary()))
+        schema = schema.append(pa.field("point", pa.binary())).append(pa.field("fine", pa.binary()))
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
             texts, docs, crcs = batch.column("text").to_pylist(), batch.column("doc"), batch.column("crc")
             for a, b in chunks(texts, CHUNK):
                 sets = Sets(texts[a:b], words)
                 counts += np.bincount((sets.hashes >> _U(64 - bits)).astype(np.int64), minlength=len(counts))
+                fine = sets.points(FINE)
+                point = fine.reshape(len(fine), -1, GROUPS).sum(1)
                 nodes, sizes = sets.nodes().view(np.int64), sets.sizes.astype(np.int64)
                 columns = [docs.slice(a, b - a), crcs.slice(a, b - a), pa.array(nodes), pa.array(sizes)]
-                columns.append(pa.array(packed(sets.points(GROUPS)), pa.binary()))
+                columns += [pa.array(packed(point), pa.binary()), pa.array(packed(fine), pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
         some = np.flatnonzero(counts > max(OFTEN, FREQUENT * counts.mean()))
         none = pa.nulls(len(some), pa.binary())
         absent = pa.nulls(len(some), pa.int64())
-        columns = [pa.array(some), absent, absent, pa.array(counts[some]), none]
+        columns = [pa.array(some), absent, absent, pa.array(counts[some]), none, none]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -346,6 +350,21 @@ def _candidate_batches(pick: str, percent: int, groups: int):
     return run
 
 
+def _bound_batches(percent: int):
+    """A function for ``mapInArrow``: pairs whose finer points pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (unpacked(batch.column(c).to_pylist(), FINE) for c in ("fine_u", "fine_v"))
+            least = needed(*(batch.column(c).to_numpy() for c in ("n_u", "n_v")), percent)
+            ok = pa.array(np.minimum(a, b).sum(1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column("u").filter(ok), batch.column("v").filter(ok)], names=["u", "v"])
+
+    return run
+
+
 def _verify_batches(percent: int, words: int):
     """A function for ``mapInArrow``: pairs whose texts link."""
 
@@ -368,7 +387,7 @@ def _verify_batches(percent: int, words: int):
 
 
 def _candidates(
-    shared: DataFrame, nodes: DataFrame, percent: int, block: int, pick: str
+    shared: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, pick: str
 ) -> DataFrame:
     """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound.
 
@@ -389,7 +408,13 @@ def _candidates(
     columns = ["token", "lo", "hi", "part", "parts", "node", "n", "label", "point"]
     keys = ["token", "lo", "hi"]
     in_order = dealt.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return in_order.mapInArrow(returning(_candidate_batches(pick, percent, GROUPS)), "u long, v long").distinct()
+    return in_order.mapInArrow(returning(_candidate_batches(pick, percent, groups)), "u long, v long").distinct()
+
+
+def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that pass by the finer points as well."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
+    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_bound_batches(percent), "u long, v long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -409,7 +434,7 @@ def similar(
     """Documents (doc, crc, node, n), and the component's label of every node that has a candidate."""
     spark = docs.sparkSession
     rows = docs.select(*row_name(), whole_text().alias("text"))
-    out = "doc long, crc long, node long, n long, point binary"
+    out = "doc long, crc long, node long, n long, point binary, fine binary"
     found = stored(rows.mapInArrow(returning(_set_batches(SKETCH_BITS, words)), out), "sets")
     members = found.where("node is not null")
     heavy = found.where("node is null").groupBy("doc").agg(F.sum("n").alias("n")).toPandas()
@@ -419,22 +444,25 @@ def similar(
     prefixes = rows.mapInArrow(returning(_prefix_batches(frequent, SKETCH_BITS, percent, words)), "token long, node long")
     in_order = prefixes.repartition("token").sortWithinPartitions("token", "node")
     shared = stored(in_order.mapInArrow(_shared_batches, "token long, node long"), "shared")
-    nodes = members.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    nodes = members.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")
+    )
     alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
-    first = stored(_candidates(shared, alone, percent, block, NODES), "pairs")
-    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here; only those need their texts.
+    first = stored(_candidates(shared, alone, percent, block, GROUPS, NODES), "pairs")
+    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here, before the finer bound;
+    # only those need their texts.
     used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
     sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = sources.select("node", "row.doc", "row.crc")
     texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(first.where("u <> v"), texts, percent, words), "links")
+    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent, words), "links")
     labels = components(links)
     joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
-        "node", "n", "point", F.coalesce("label", "node").alias("label")
+        "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
     )
     joined_nodes = stored(joined_nodes, "nodes")
     for pick in (COMPONENTS, ALL):
-        more = _verified(_candidates(shared, joined_nodes, percent, block, pick), texts, percent, words)
+        more = _verified(_candidates(shared, joined_nodes, percent, block, FINE, pick), texts, percent, words)
         joined_nodes = stored(_relabelled(joined_nodes, more), "nodes")
     return members.select("doc", "crc", "node", "n"), joined_nodes.select("node", "label")
 
