@@ -80,7 +80,7 @@ def test_language_of_pages(spark):
 
 def test_registry_is_whole():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_pipeline_stages(spark, corpus, sf_dir):
