@@ -16,9 +16,10 @@ component.
    the overlap. Each bucket is an R-tree over its points whose boxes hold the
    largest counts and the range of set sizes; a join of the tree with itself
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
-4. Round one takes for each node the best partner in each bucket and bounds it
-   again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
-   (whether or not the best one passed the finer bound) and with ``FINE`` groups,
+4. Round one takes for each node one partner in each bucket, the one of least hash
+   among those in the upper half of its bounds (so that buckets agree on it), and
+   bounds it again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
+   (whether or not the one taken passed the finer bound) and with ``FINE`` groups,
    takes for any two components of round one's links the best pair that passes in a
    bucket. Round three takes all pairs that still pass between different components.
    In a group of thousands of near copies nearly all pairs are joined before round
@@ -290,7 +291,7 @@ class Bucket:
                     yield i + first, j + first, bound
 
 
-#: Which candidate pairs of a bucket go on: the best of each node, the best of each two components, or all.
+#: Which candidate pairs of a bucket go on: one for each node, the best of each two components, or all.
 NODES, COMPONENTS, ALL = "nodes", "components", "all"
 
 
@@ -311,9 +312,14 @@ def _candidate_batches(pick: str, percent: int, groups: int):
             new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
             i, j = i[order][new], j[order][new]
         if pick == NODES and len(i):
-            # For each row the partner with the largest share of the needed overlap.
+            # For each row, of the partners with the larger shares of the needed overlap, the one that is least:
+            # a node of a cluster then tells the same partner in most of its buckets.
             i, j, share = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([share, share])
-            order = np.lexsort((rows.node[j], -share, i))
+            best = np.zeros(len(rows.node))
+            np.maximum.at(best, i, share)
+            close = 2 * share >= 1 + best[i]
+            i, j = i[close], j[close]
+            order = np.lexsort((rows.node[j], i))
             i, j = i[order], j[order]
             new = np.ones(len(i), bool)
             new[1:] = i[1:] != i[:-1]
