@@ -10,10 +10,10 @@ For each page and language the logarithms of four terms are added:
 * *host*: the language shares of the host, smoothed towards those of its domain,
   which are smoothed towards those of all pages (``STRENGTH`` pages each).
 
-Trigram tables come from at most ``SAMPLE`` documents of each language, those with
-the smallest hash of their doc_id, and hold the ``TABLE`` most frequent trigrams;
-at most ``LANGUAGES`` languages, the most frequent, are told apart. That bounds
-what is broadcast. The counts of declarations, suffixes, domains and hosts are
+Trigram counts come from at most ``SAMPLE`` documents of each language, those with
+the smallest hash of their doc_id, and hold all of their trigrams and all labelled
+languages. What is broadcast is one number for each language and trigram: at most
+2^24 trigrams, and no more than the sample has. The counts of declarations, suffixes, domains and hosts are
 sums of the text posteriors of all pages, by grouped aggregations with partial
 sums; a page's own posterior is taken out of its host's and domain's counts. Only
 rows of a few numbers are shuffled, never a page.
@@ -41,7 +41,8 @@ from gatetally.llm.bytehash import joined
 from gatetally.llm.shared import documents, ship, stored, whole_text
 from gatetally.llm.wordmemo import chunks
 
-SAMPLE, TABLE, LANGUAGES = 1500, 50_000, 64
+#: Most documents of a language that its trigrams are counted in.
+SAMPLE = 1500
 #: Trigrams that the text counts for at most, and pages that a prior counts for.
 WEIGHT, STRENGTH = 60, 5.0
 #: Added to each count.
@@ -58,7 +59,8 @@ _LETTERS[128:] = np.arange(128, 256)
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the letter trigrams of the texts, and the number of each one's text."""
-    data, at = joined([t.lower() for t in texts])
+    # The blank before each text keeps its first letters from counting for the text before.
+    data, at = joined([" " + t.lower() for t in texts])
     data = _LETTERS[data].astype(np.int32)
     code = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:] if len(data) > 2 else np.zeros(0, np.int32)
     text = np.repeat(np.arange(len(texts)), np.diff(at))[: len(code)]
@@ -93,30 +95,33 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, table: int = TABLE, languages: int = LANGUAGES):
+def learn(docs: DataFrame, sample: int = SAMPLE):
     """Names of the languages, the known trigrams and their log-probabilities by language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    names = sorted(r["lang"] for r in sizes.collect())
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    found = {r["lang"]: r["n"] for r in sizes.collect()}  # one row for each language
+    names = sorted(found)
     if not names:
         return [], np.zeros(0, np.int64), np.zeros((0, 0))
+    # Rows beyond this hash are not among the first of their language, or it has few rows.
+    share = {name: min(1.0, (2 * sample + 1000) / n) for name, n in found.items()}
+    spark = docs.sparkSession
+    kinds = spark.createDataFrame(
+        [(name, i, (2 * share[name] - 1) * 2.0**63) for i, name in enumerate(names)], "lang string, kind int, most double"
+    )
     order = F.xxhash64("doc_id")
-    kinds = F.array_position(F.array(*(F.lit(n) for n in names)), F.col("lang")).cast("int") - 1
-    ranked = [
-        labelled.where(F.col("lang") == n).select("doc_id", kinds.alias("kind")).orderBy(order, "doc_id").limit(sample)
-        for n in names
-    ]
-    # At most ``sample`` rows for each of at most ``languages`` languages: that bounds the broadcast side.
-    picked = F.broadcast(reduce(DataFrame.unionByName, ranked).distinct())
+    early = labelled.select("doc_id", "lang").join(F.broadcast(kinds), "lang").where(order.cast("double") <= F.col("most"))
+    turn = F.row_number().over(Window.partitionBy("kind").orderBy(order, "doc_id"))
+    # At most ``sample`` rows for each language: that bounds the broadcast side.
+    picked = F.broadcast(early.withColumn("turn", turn).where(F.col("turn") <= sample).select("doc_id", "kind").distinct())
     rows = docs.join(picked, "doc_id").select("kind", whole_text().alias("text"))
     counts = rows.mapInArrow(_count_batches, "kind int, code int, n long").groupBy("kind", "code").agg(F.sum("n").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("code"))
-    top = counts.withColumn("total", total).orderBy(F.desc("total"), "code", "kind").limit(table * len(names)).toPandas()
-    codes = np.sort(top.groupby("code")["total"].first().sort_values(ascending=False, kind="stable").index[:table])
-    logs = np.zeros((len(names), len(codes) + 1))
-    top = top[top["code"].isin(codes)]
-    logs[top["kind"], np.searchsorted(codes, top["code"])] = top["n"]
-    logs = np.log((logs + SMOOTH) / (logs + SMOOTH).sum(1, keepdims=True))
+    counted = counts.toArrow()
+    kind, code, n = (counted.column(c).to_numpy() for c in ("kind", "code", "n"))
+    codes = np.unique(code)
+    logs = np.full((len(names), len(codes) + 1), SMOOTH, np.float32)
+    logs[kind, np.searchsorted(codes, code)] += n
+    logs = np.log(logs / logs.sum(1, keepdims=True, dtype=np.float64)).astype(np.float32)
     return names, codes, logs
 
 
@@ -125,13 +130,12 @@ def _page_batches(model, keep: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, logs = model.value
-        place = np.full(1 << 24, len(codes), np.uint16)
-        place[codes] = np.arange(len(codes))
         for batch in batches:
             pages, urls = batch.column("html").to_pylist(), batch.column("url").to_pylist()
             for a, b in chunks(pages):
                 code, text = trigrams([visible(p) for p in pages[a:b]])
-                at, n = place[code], np.bincount(text, minlength=b - a)
+                at, n = np.searchsorted(codes, code), np.bincount(text, minlength=b - a)
+                at[codes[np.minimum(at, len(codes) - 1)] != code] = len(codes)
                 sums = np.stack([np.bincount(text, row[at], b - a) for row in logs], 1)
                 scores = sums / np.maximum(n, 1)[:, None] * np.minimum(n, WEIGHT)[:, None]
                 hosts = [host_of(u) for u in urls[a:b]]
@@ -151,11 +155,10 @@ def _page_batches(model, keep: str):
     return run
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    raised = [F.exp(s - top) for s in scores]
-    total = reduce(add, raised)
-    return [r / total for r in raised]
+def _softmax(scores: Column) -> Column:
+    raised = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
+    total = F.aggregate(raised, F.lit(0.0), lambda a, r: a + r)
+    return F.transform(raised, lambda r: r / total)
 
 
 def languages(pages: DataFrame, docs: DataFrame, key: str = "page_id") -> DataFrame:
@@ -169,43 +172,43 @@ def languages(pages: DataFrame, docs: DataFrame, key: str = "page_id") -> DataFr
     model = pages.sparkSession.sparkContext.broadcast((codes, logs))
     out = f"`{key}` {kind}, host string, domain string, suffix string, declared string, text_scores array<double>"
     seen = stored(rows.mapInArrow(_page_batches(model, key), out), "pages")
-    every = range(len(names))
-    posterior = _softmax([F.col("text_scores")[i] for i in every])
-    seen = seen.select("*", *(p.alias(f"p{i}") for i, p in enumerate(posterior)))
+    seen = seen.withColumn("own", _softmax(F.col("text_scores")))
+    sums = F.array(*(F.sum(F.col("own")[i]) for i in range(len(names))))
 
     def counted(group: str, prefix: str) -> DataFrame:
-        return seen.groupBy(group).agg(*(F.sum(f"p{i}").alias(f"{prefix}{i}") for i in every))
-
-    whole = seen.agg(F.count("*").alias("n_pages"), F.countDistinct("declared").alias("n_declared"),
-                     F.countDistinct("suffix").alias("n_suffix"), *(F.sum(f"p{i}").alias(f"a{i}") for i in every)).head()
+        """Pages and sums of their posteriors by ``group``; a page's posteriors add up to one."""
+        return seen.groupBy(group).agg(F.count("*").alias(f"{prefix}_n"), sums.alias(prefix))
+
+    whole = seen.agg(F.count("*").alias("n"), F.countDistinct("declared").alias("n_declared"),
+                     F.countDistinct("suffix").alias("n_suffix"), sums.alias("all")).head()
+    pages_of = [x or 0.0 for x in whole["all"]]
+    listed = lambda values: F.array(*(F.lit(float(v)) for v in values))
+    shares = listed((x + SMOOTH) / (whole["n"] + SMOOTH * len(names)) for x in pages_of)
+    of_declared = listed(x + SMOOTH * max(1, whole["n_declared"]) for x in pages_of)
+    of_suffix = listed(x + SMOOTH * max(1, whole["n_suffix"]) for x in pages_of)
     joined_ = (
-        seen.join(counted("declared", "d"), "declared")
-        .join(counted("suffix", "s"), "suffix")
-        .join(counted("domain", "m"), "domain")
-        .join(counted("host", "h"), "host")
-    )
-    total = lambda c: reduce(add, (F.col(f"{c}{i}") for i in every))
-    scores = []
-    for i in every:
-        pages_of = whole[f"a{i}"] or 0.0
-        share = F.lit((pages_of + SMOOTH) / (whole["n_pages"] + SMOOTH * len(names)))
-        domain = (F.col(f"m{i}") - F.col(f"p{i}") + STRENGTH * share) / (total("m") - 1 + STRENGTH)
-        host = (F.col(f"h{i}") - F.col(f"p{i}") + STRENGTH * domain) / (total("h") - 1 + STRENGTH)
-        says = (F.col(f"d{i}") + SMOOTH) / (pages_of + SMOOTH * max(1, whole["n_declared"]))
-        ends = (F.col(f"s{i}") + SMOOTH) / (pages_of + SMOOTH * max(1, whole["n_suffix"]))
-        terms = [F.log(F.greatest(x, F.lit(1e-12))) for x in (host, says, ends)]
-        scores.append(reduce(add, terms, F.col("text_scores")[i]))
-    fused = joined_.select("*", *(p.alias(f"f{i}") for i, p in enumerate(_softmax(scores))))
-
-    def name(prefix: str) -> Column:
-        best = F.greatest(*(F.col(f"{prefix}{i}") for i in every)) if len(names) > 1 else F.col(f"{prefix}0")
-        return F.coalesce(*(F.when(F.col(f"{prefix}{i}") == best, F.lit(n)) for i, n in enumerate(names)))
-
-    top = F.greatest(*(F.col(f"f{i}") for i in every)) if len(names) > 1 else F.col("f0")
-    return fused.select(
-        key, "host", "declared", name("f").alias("lang"), top.alias("probability"), name("p").alias("text_lang")
+        seen.join(counted("declared", "by_declared"), "declared")
+        .join(counted("suffix", "by_suffix"), "suffix")
+        .join(counted("domain", "by_domain"), "domain")
+        .join(counted("host", "by_host"), "host")
     )
 
+    def fused(score: Column, i: Column) -> Column:
+        others = lambda c: F.get(f"by_{c}", i) - F.get("own", i)
+        domain = (others("domain") + STRENGTH * F.get(shares, i)) / (F.col("by_domain_n") - 1 + STRENGTH)
+        host = (others("host") + STRENGTH * domain) / (F.col("by_host_n") - 1 + STRENGTH)
+        says = (F.get("by_declared", i) + SMOOTH) / F.get(of_declared, i)
+        ends = (F.get("by_suffix", i) + SMOOTH) / F.get(of_suffix, i)
+        return reduce(add, (F.log(F.greatest(x, F.lit(1e-12))) for x in (host, says, ends)), score)
+
+    judged = joined_.withColumn("fused", _softmax(F.transform("text_scores", fused)))
+    known = F.array(*(F.lit(n) for n in names))
+    best = lambda p: F.get(known, (F.array_position(p, F.array_max(p)) - 1).cast("int"))
+    return judged.select(
+        key, "host", "declared", best(F.col("fused")).alias("lang"), F.array_max("fused").alias("probability"),
+        best(F.col("own")).alias("text_lang"),
+    )
+
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page, learnt from the labelled documents."""
