@@ -114,6 +114,10 @@ _END = "</w>"
 _MARKS = ".,;:!?%$#&*"
 
 
+def _is_latin(word: str) -> bool:
+    return word.isascii() or max(word) <= "ÿ"
+
+
 def _encoder(path: str):
     """Encodes distinct words: the library sees each lower-case stem and each tail of marks once.
 
@@ -131,7 +135,9 @@ def _encoder(path: str):
         if len(known) > REMEMBERED:
             known.clear()
         new = parts.difference(known)
-        plain = [p for p in new if p.isalpha() and max(p) <= "ÿ"]
+        plain, other = [], []
+        for part in new:
+            (plain if part.isalpha() and _is_latin(part) else other).append(part)
         for at in range(0, len(plain), 256 * JOINED):
             some = plain[at : at + 256 * JOINED]
             lines = [" ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
@@ -140,7 +146,6 @@ def _encoder(path: str):
             # Letters alone are one word to the tokenizer, whose last piece is marked.
             after = np.flatnonzero(closing[flat]) + 1
             known.update(zip(some, as_runs(flat, np.diff(after, prepend=0)), strict=True))
-        other = list(new.difference(plain))
         for at in range(0, len(other), 4096):
             some = other[at : at + 4096]
             found = [np.array(f.ids, np.int32) for f in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
@@ -150,7 +155,7 @@ def _encoder(path: str):
         stems, tails = [], []
         for word in words:
             stem = word.rstrip(_MARKS)
-            if stem.isalnum() and max(stem) <= "ÿ":
+            if stem.isalnum() and _is_latin(stem):
                 stems.append(stem.lower())
                 tails.append(word[len(stem) :])
             else:

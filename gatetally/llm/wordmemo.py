@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from itertools import repeat
 
 import numpy as np
 
@@ -39,12 +40,15 @@ class WordMemo:
 
     def slots(self, words: list[str]) -> np.ndarray:
         """The slot of every word; new words are encoded first."""
-        new = set(words).difference(self.index)
-        if new:
-            if len(self.index) + len(new) > self.limit and self.index:
+        slots = self._found(words)
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            fresh = list({words[i] for i in unknown.tolist()})
+            if len(self.index) + len(fresh) > self.limit and self.index:
                 self._forget(words)
-                new = set(words).difference(self.index)
-            fresh = list(new)
+                slots = self._found(words)
+                unknown = np.flatnonzero(slots < 0)
+                fresh = list({words[i] for i in unknown.tolist()})
             runs = self.encode(fresh)
             lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
             total, first = int(lengths.sum()), len(self.index)
@@ -57,11 +61,15 @@ class WordMemo:
             self._room("starts", last)[first:last] = self.used + np.cumsum(lengths) - lengths
             self.used += total
             self.index.update(zip(fresh, range(first, last), strict=True))
-        slots = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            slots[unknown] = self._found([words[i] for i in unknown.tolist()])
         self.clock += 1
         self.used_at[slots] = self.clock
         return slots
 
+    def _found(self, words: list[str]) -> np.ndarray:
+        """The slot of every word, -1 where there is none."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
     def _forget(self, words: list[str]) -> None:
         """Keep the half that was used last, those of ``words`` among it; all go if that leaves no room."""
         self.clock += 1
