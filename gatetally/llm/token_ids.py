@@ -13,6 +13,10 @@ range; a segment closes once it holds ``SEGMENT_IDS`` ids. The number of ids
 before a segment is its offset in its range (stored) plus the totals of earlier
 ranges (one row for each range).
 
+Words are found by 64-bit hashes of their bytes, and the library encodes each
+word once in a while: a worker remembers ``REMEMBERED`` of them. Words with equal
+hashes would count as equal (one pair in about 2^64).
+
 Defined results: null and empty texts have the end id alone; a null doc_id sorts
 first; rows with equal doc_id follow each other by checksum of the text; an empty
 table gives empty files; other columns are ignored; a text is never split.
@@ -33,8 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gatetally.llm.bytehash import Hashed, class_table, joined, lowered, runs
 from gatetally.llm.shared import documents, shared_folder, whole_text
-from gatetally.llm.wordmemo import WordMemo, as_runs, chunks, sums_by_text
+from gatetally.llm.wordmemo import HashMemo, as_runs, chunks, sums_by_text
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -42,9 +47,9 @@ END_ID = 2
 SEGMENT_IDS = 1 << 20
 #: Every so many set bits of the high bits, the place of one is stored.
 SAMPLE = 256
-#: Stems that the library encodes in one call, as one line.
+#: Words that the library encodes as one line.
 JOINED = 256
-#: Words, and stems, whose ids a worker remembers (about 200 bytes each).
+#: Words whose ids a worker remembers (about 60 bytes each).
 REMEMBERED = 800_000
 
 SEGMENT_SCHEMA = """part int, segment int, ids_before long, n_docs int, n_ids long, id_bytes int, low_bits int,
@@ -111,66 +116,61 @@ def _tokenizer(path: str):
 
 #: Fixed value: how the vocabulary marks the last piece of a word.
 _END = "</w>"
-_MARKS = ".,;:!?%$#&*"
+#: Bytes of marks that may follow a word, and those before them that show the end of a letter or digit.
+_MARK = class_table(b".,;:!?%$#&*")
+_PLAIN = class_table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: Second bytes of the Latin letters whose first byte is 0xC3 (all but the signs for times and divided by).
+_ACCENTED = class_table(bytes({*range(0x80, 0xC0)} - {0x97, 0xB7}))
 
 
-def _is_latin(word: str) -> bool:
-    return word.isascii() or max(word) <= "ÿ"
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of what is encoded on its own: words between blanks, with the marks behind a letter or digit cut off.
 
+    The tokenizer splits at blanks, and between letters or digits and marks.
+    """
+    starts, ends = runs((data != 32) & (data != 10))
+    solid = np.maximum.accumulate(np.where(_MARK[data], 0, np.arange(1, len(data) + 1)))
+    cut = solid[ends - 1]
+    before = data[cut - 1]
+    inside = _PLAIN[before] | ((cut - 2 >= starts) & (data[cut - 2] == 0xC3) & _ACCENTED[before])
+    cut = cut[(cut < ends) & (cut > starts) & inside]
+    # The parts do not overlap, so sorted starts and sorted ends belong together.
+    return np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
 
-def _encoder(path: str):
-    """Encodes distinct words: the library sees each lower-case stem and each tail of marks once.
 
-    The tokenizer lowers case and separates letters and digits from marks, so a
-    word that is a stem of letters and digits with marks behind it has the ids of
-    the stem followed by those of the marks.
-    """
+def _encoder(path: str):
+    """Encodes distinct words; the library sees words of Latin letters in lines of many."""
     tokenizer = _tokenizer(path)
     vocabulary = tokenizer.get_vocab()
     closing = np.zeros(max(vocabulary.values()) + 1, bool)
     closing[[i for piece, i in vocabulary.items() if piece.endswith(_END)]] = True
-    known: dict[str, bytes] = {}
 
-    def learn(parts: set[str]) -> None:
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = parts.difference(known)
+    def encode(words: list[str]) -> list[bytes]:
+        found: dict[str, bytes] = {}
         plain, other = [], []
-        for part in new:
-            (plain if part.isalpha() and _is_latin(part) else other).append(part)
+        for word in words:
+            (plain if word.isalpha() and (word.isascii() or max(word) <= "ÿ") else other).append(word)
         for at in range(0, len(plain), 256 * JOINED):
             some = plain[at : at + 256 * JOINED]
             lines = [" ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
-            found = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-            flat = np.fromiter(chain.from_iterable(f.ids for f in found), np.int32)
+            encoded = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            flat = np.fromiter(chain.from_iterable(f.ids for f in encoded), np.int32)
             # Letters alone are one word to the tokenizer, whose last piece is marked.
             after = np.flatnonzero(closing[flat]) + 1
-            known.update(zip(some, as_runs(flat, np.diff(after, prepend=0)), strict=True))
+            found.update(zip(some, as_runs(flat, np.diff(after, prepend=0)), strict=True))
         for at in range(0, len(other), 4096):
             some = other[at : at + 4096]
-            found = [np.array(f.ids, np.int32) for f in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            known.update((word, ids.tobytes()) for word, ids in zip(some, found, strict=True))
-
-    def encode(words: list[str]) -> list[bytes]:
-        stems, tails = [], []
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            if stem.isalnum() and _is_latin(stem):
-                stems.append(stem.lower())
-                tails.append(word[len(stem) :])
-            else:
-                stems.append(word)
-                tails.append("")
-        learn({*stems, *tails})
-        return [known[a] + known[b] for a, b in zip(stems, tails, strict=True)]
+            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            found.update((word, np.array(f.ids, np.int32).tobytes()) for word, f in zip(some, encoded, strict=True))
+        return [found[word] for word in words]
 
     return encode
 
 
 @lru_cache(maxsize=1)
-def _memo(path: str) -> WordMemo:
+def _memo(path: str) -> HashMemo:
     """One for each worker process, so that its later tasks find the words of its earlier ones."""
-    return WordMemo(_encoder(path), REMEMBERED)
+    return HashMemo(_encoder(path), REMEMBERED)
 
 
 def id_width(path: str) -> int:
@@ -178,13 +178,21 @@ def id_width(path: str) -> int:
     return 2 if _tokenizer(path).get_vocab_size() <= 1 << 16 else 4
 
 
-def encode_texts(texts: list[str], memo: WordMemo, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: list[str], memo: HashMemo, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, each closed by ``end_id``, end to end; and how many each text has."""
-    words = [t.replace("\n", " ").split(" ") for t in texts]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    flat = [w for ws in words for w in ws]
-    ids, lengths = memo.ids(memo.slots(flat))
-    n = sums_by_text(lengths, counts)
+    data, at = joined(texts)
+    raw = data.tobytes()
+    if b"<|" not in raw:  # special strings are in lower case, all others are lowered by the tokenizer
+        data = lowered(data)
+        raw = data.tobytes()
+    starts, ends = units(data)
+    hashes = Hashed(data).spans(starts, ends)
+
+    def words(places: np.ndarray) -> list[str]:
+        return [raw[a:b].decode() for a, b in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
+
+    ids, lengths = memo.ids(memo.slots(hashes, words))
+    n = sums_by_text(lengths, np.diff(np.searchsorted(starts, at)))
     ends = np.cumsum(n + 1)
     out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.int64)
     inside = np.ones(len(out), bool)

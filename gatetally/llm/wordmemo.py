@@ -90,11 +90,97 @@ class WordMemo:
 
     def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words in ``slots``, end to end, and each word's number of ids."""
-        lengths = self.lengths[slots]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.starts[slots] - (ends - lengths), lengths)
-        return self.flat[at], lengths
+        return _gathered(self.flat, self.starts[slots], self.lengths[slots])
+
+
+class HashMemo:
+    """Like ``WordMemo`` for words given by 64-bit hashes; the strings are asked for when a word is new only.
+
+    Words with equal hashes count as equal. Slots are found in an open table, at
+    the first place from the hash's low bits on that holds the hash or nothing.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int):
+        self.encode, self.limit, self.clock = encode, limit, 0
+        self._fill(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _fill(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray, used_at: np.ndarray) -> None:
+        self.keys, self.flat, self.lengths, self.used_at = keys, flat, lengths, used_at
+        self.starts = np.cumsum(lengths) - lengths
+        self.table = np.full(1 << max(16, (3 * len(keys)).bit_length()), -1, np.int32)
+        self._enter(np.arange(len(keys)))
+
+    def _enter(self, slots: np.ndarray) -> None:
+        mask = np.uint64(len(self.table) - 1)
+        at = self.keys[slots] & mask
+        while len(slots):
+            free = self.table[at] < 0
+            self.table[at[free]] = slots[free]
+            left = self.table[at] != slots
+            slots, at = slots[left], (at[left] + np.uint64(1)) & mask
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        mask = np.uint64(len(self.table) - 1)
+        slots = self.table[hashes & mask].astype(np.int64)
+        if not len(self.keys):
+            return slots
+        left = np.flatnonzero((slots >= 0) & (self.keys[slots] != hashes))
+        at = hashes[left] & mask
+        while len(left):
+            at = (at + np.uint64(1)) & mask
+            slots[left] = self.table[at]
+            other = (slots[left] >= 0) & (self.keys[slots[left]] != hashes[left])
+            left, at = left[other], at[other]
+        return slots
+
+    def slots(self, hashes: np.ndarray, words: Callable[[np.ndarray], list[str]]) -> np.ndarray:
+        """The slot of every word; ``words`` gives the strings of those at some places of ``hashes``."""
+        self.clock += 1
+        slots = self._found(hashes)
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            fresh, first = np.unique(hashes[unknown], return_index=True)
+            if len(self.keys) + len(fresh) > self.limit and len(self.keys):
+                self.used_at[slots[slots >= 0]] = self.clock
+                self._forget()
+                slots = self._found(hashes)
+                unknown = np.flatnonzero(slots < 0)
+                fresh, first = np.unique(hashes[unknown], return_index=True)
+            runs = self.encode(words(unknown[first]))
+            lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+            self._add(fresh, np.frombuffer(b"".join(runs), np.int32), lengths)
+            slots[unknown] = self._found(hashes[unknown])
+        self.used_at[slots] = self.clock
+        return slots
+
+    def _add(self, fresh: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.keys)
+        ends = len(self.flat) + np.cumsum(lengths)
+        self.keys = np.concatenate([self.keys, fresh])
+        self.starts = np.concatenate([self.starts, ends - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used_at = np.concatenate([self.used_at, np.full(len(fresh), self.clock)])
+        self.flat = np.concatenate([self.flat, flat])
+        if 2 * len(self.keys) > len(self.table):
+            self._fill(self.keys, self.flat, self.lengths, self.used_at)
+        else:
+            self._enter(np.arange(n, len(self.keys)))
+
+    def _forget(self) -> None:
+        """Keep the half that was used last."""
+        kept = np.sort(np.argsort(-self.used_at, kind="stable")[: self.limit // 2])
+        flat, lengths = self.ids(kept)
+        self._fill(self.keys[kept], flat, lengths, self.used_at[kept])
+
+    def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in ``slots``, end to end, and each word's number of ids."""
+        return _gathered(self.flat, self.starts[slots], self.lengths[slots])
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], lengths
 
 
 def as_runs(flat: np.ndarray, lengths: np.ndarray) -> list[bytes]:

@@ -1,5 +1,6 @@
 """Operators 1, 9 and 10 against their libraries."""
 
+import random
 import zlib
 
 import numpy as np
@@ -82,3 +83,21 @@ def test_empty_tables(spark, empty):
     folder = shared_folder(spark, "ids")
     token_ids.write_token_ids(empty, folder, WORDS)
     assert token_ids.read_token_ids(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("limit", [60, 100_000])
+def test_words_by_hash_equal_the_library(limit):
+    """Marks behind words, special strings, accents and other scripts; a memo that must forget changes nothing."""
+    rng = random.Random(limit)
+    alphabet = [*"abAB1.,;:!?%$#&*'\" \n\t<|>éÉß×÷ñ\u0301İſ日½_-\xa0", "endoftext", "<|endoftext|>", "<|ENDOFTEXT|>", "'s"]
+    texts = ["", " ", ".", "a...b", "x\".", "×.", "A.\u0300", "word " * 40_000]
+    texts += ["".join(rng.choices(alphabet, k=rng.randint(1, 30))) for _ in range(3000)]
+    tokenizer = token_ids._tokenizer(WORDS)
+    memo = token_ids.HashMemo(token_ids._encoder(WORDS), limit)
+    for at in range(0, len(texts), 53):
+        some = texts[at : at + 53]
+        ids, n = token_ids.encode_texts(some, memo, token_ids.END_ID)
+        ends = n.cumsum()
+        for text, first, last in zip(some, ends - n, ends, strict=True):
+            wanted = [*tokenizer.encode(text, add_special_tokens=False).ids, token_ids.END_ID]
+            assert ids[first:last].tolist() == wanted
