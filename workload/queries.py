@@ -472,7 +472,7 @@ def stream_endpoint_hourly(spark, sf_dir):
 def stream_endpoint_hourly_stored(spark, sf_dir):
     """Over several batches; late and untimed rows and the last hour count as in batch."""
     path = scratch_dir(spark, "stream-endpoints")
-    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    stream = stages.click_stream(spark, sf_dir, batches=3)
     additive.store_endpoint_counts(stream, path, scratch_dir(spark, "stream-endpoints-checkpoint")).awaitTermination()
     return _shown(_six(additive.endpoint_hourly(spark, path), "avg_latency_ms"), "hour")
 
@@ -486,7 +486,7 @@ def stream_ip_anomalies_closed(spark, sf_dir):
 def stream_ip_anomalies(spark, sf_dir):
     """Over several batches; late and untimed rows count as in batch."""
     path = scratch_dir(spark, "stream-live")
-    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    stream = stages.click_stream(spark, sf_dir, batches=3)
     additive.store_session_sums(stream, path, scratch_dir(spark, "stream-live-checkpoint")).awaitTermination()
     return additive.ip_anomalies(spark, path)
 
@@ -495,8 +495,8 @@ def stream_ip_anomalies(spark, sf_dir):
 def stream_metric_upsert(spark, sf_dir):
     """Stored twice into one table, in batches of other sizes: the second run replaces the first."""
     path = scratch_dir(spark, "stream-rerun")
-    for run, size in enumerate((3, 8)):
-        stream = stages.click_stream(spark, sf_dir, files_per_batch=size)
+    for run, batches in enumerate((3, 1)):
+        stream = stages.click_stream(spark, sf_dir, batches=batches)
         checkpoint = scratch_dir(spark, f"stream-rerun-{run}")
         additive.store_session_sums(stream, path, checkpoint, run).awaitTermination()
     return additive.ip_anomalies(spark, path)
@@ -527,7 +527,7 @@ def stream_tail(spark, sf_dir):
 def stream_attribution(spark, sf_dir):
     """Events in any order over several batches; later ones correct earlier ones."""
     path = scratch_dir(spark, "stream-visits")
-    stream = stages.click_stream(spark, sf_dir, files_per_batch=3)
+    stream = stages.click_stream(spark, sf_dir, batches=3)
     visits.store_attribution(stream, path, scratch_dir(spark, "stream-visits-checkpoint"), "400 days").awaitTermination()
     raw = files.layer_path(stages.raw_base(spark, sf_dir), "raw", "clickstream/*.jsonl")
     curated = curate.curate_clickstream(files.read_clickstream(spark, raw), inputs.TENANT)
@@ -541,7 +541,7 @@ def stream_attribution(spark, sf_dir):
 def stream_endpoint_percentiles(spark, sf_dir):
     """Sketches of several batches and all hours merged by path; ``p95_near`` tells that the rank is right."""
     path = scratch_dir(spark, "stream-sketches")
-    stream = stages.click_stream(spark, sf_dir, files_per_batch=2)
+    stream = stages.click_stream(spark, sf_dir, batches=4)
     sketches.store_endpoint_sketches(stream, path, scratch_dir(spark, "stream-sketches-checkpoint")).awaitTermination()
     health = sketches.endpoint_percentiles(spark, path, (95,))
     timed = stages.clicks(spark, sf_dir).filter("event_type = 'server_request' AND latency_ms IS NOT NULL")
@@ -557,6 +557,6 @@ def stream_endpoint_percentiles(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Copies in different batches, with and without a time."""
     path = scratch_dir(spark, "stream-distinct")
-    stream = stages.copies_stream(spark, sf_dir, files_per_batch=2)
+    stream = stages.copies_stream(spark, sf_dir, batches=3)
     digests.store_distinct_rows(stream, path, scratch_dir(spark, "stream-distinct-checkpoint")).awaitTermination()
     return _shown(curate.curate_clickstream(digests.distinct_rows(spark, path), inputs.TENANT), "event_ts")

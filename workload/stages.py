@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from gatetally.operators import curate
@@ -32,11 +32,25 @@ def open_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns, plan, score)).alias("value"))
 
 
+#: A file has at most one in so many of the rows, so that small inputs too make several batches of a stream.
+_FILES = 8
+
+
+def _in_files(rows: DataFrame, n_rows: int) -> DataFrameWriter:
+    """A writer whose tasks write what they read, without a shuffle."""
+    return rows.write.option("maxRecordsPerFile", max(1, -(-n_rows // _FILES)))
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
     keep = {"header": True, "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.options(**keep).csv(path)
 
 
+def _n_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the clickstream: a browser and a server row of each event."""
+    return 2 * inputs.table(spark, sf_dir, "events").count()
+
+
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
@@ -54,7 +68,8 @@ def raw_base(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the raw layer as files."""
 
     def write(base: str) -> None:
-        json_lines(spark, sf_dir).repartition(8).write.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
+        lines = _in_files(json_lines(spark, sf_dir), _n_rows(spark, sf_dir))
+        lines.text(files.layer_path(base, "raw", "clickstream/derived.jsonl"))
         tables = {"events": inputs.catalog, "campaigns": inputs.campaigns, "transactions": inputs.transactions}
         for name, derive in tables.items():
             _write_csv(derive(spark, sf_dir), files.layer_path(base, "raw", f"business/{name}.csv"))
@@ -71,7 +86,11 @@ def curated_base(spark: SparkSession, sf_dir: str) -> str:
 
 def copies_dir(spark: SparkSession, sf_dir: str) -> str:
     """JSON Lines of the clickstream with repeated rows."""
-    return _once(spark, sf_dir, "copies", lambda path: inputs.clickstream_with_copies(spark, sf_dir).repartition(6).write.json(path))
+
+    def write(path: str) -> None:
+        _in_files(inputs.clickstream_with_copies(spark, sf_dir), _n_rows(spark, sf_dir)).json(path)
+
+    return _once(spark, sf_dir, "copies", write)
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +110,19 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.curate_campaigns(inputs.campaigns(spark, sf_dir))
 
 
-def click_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    """Curated clickstream as a stream over the raw JSON Lines."""
+def _per_batch(spark: SparkSession, path: str, batches: int | None) -> int | None:
+    """Files of a batch, if a stream over ``path`` takes so many batches at most."""
+    return batches and max(1, -(-len(spark.read.text(path).inputFiles()) // batches))
+
+
+def click_stream(spark: SparkSession, sf_dir: str, batches: int | None = None) -> DataFrame:
+    """Curated clickstream as a stream over the raw JSON Lines, all at once or in so many batches."""
     path = files.layer_path(raw_base(spark, sf_dir), "raw", "clickstream/derived.jsonl")
-    return curate.curate_clickstream(files.stream_clickstream(stream_session(spark), path, files_per_batch), inputs.TENANT)
+    stream = files.stream_clickstream(stream_session(spark), path, _per_batch(spark, path, batches))
+    return curate.curate_clickstream(stream, inputs.TENANT)
 
 
-def copies_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    """Raw rows with copies as a stream."""
-    return files.stream_clickstream(stream_session(spark), copies_dir(spark, sf_dir), files_per_batch)
+def copies_stream(spark: SparkSession, sf_dir: str, batches: int | None = None) -> DataFrame:
+    """Raw rows with copies as a stream, all at once or in so many batches."""
+    path = copies_dir(spark, sf_dir)
+    return files.stream_clickstream(stream_session(spark), path, _per_batch(spark, path, batches))
