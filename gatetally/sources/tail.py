@@ -12,7 +12,8 @@ the new one is read from its start. A file that shrank is read from its start.
 
 The offset holds a position for each file that exists; files that were deleted
 leave it. A batch is a set of byte ranges, cut at ``splitBytes`` so that several
-tasks read one file. A task reads the lines that start inside its range, so cuts
+tasks read one file; in a large batch the cuts are longer, so that it does not
+become a task for every few lines. A task reads the lines that start inside its range, so cuts
 need not lie at line ends. Ranges are read again in the same way when a batch is
 repeated.
 
@@ -31,6 +32,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 SPLIT_BYTES = 64 << 20
 _BLOCK = 1 << 16
+#: Cuts of one batch that its size is spread over before they grow beyond ``splitBytes``.
+_PARTS = 256
 #: Bytes of the first line that tell files apart.
 _HEAD = 4096
 #: Lines of one Arrow batch.
@@ -115,6 +118,12 @@ def cut_ranges(path: str, low: int, high: int, split: int) -> list[FileRange]:
     return [FileRange(path, a, min(a + split, high)) for a in range(low, high, split)]
 
 
+def range_bytes(ranges: list[tuple[str, str, int, int]], least: int) -> int:
+    """Size of the cuts of a batch: ``least`` bytes, more (up to ``SPLIT_BYTES``) where that would be over ``_PARTS`` cuts."""
+    total = sum(high - low for _, _, low, high in ranges)
+    return max(least, min(SPLIT_BYTES, -(-total // _PARTS)))
+
+
 def lines_of(files: fs.FileSystem, part: FileRange) -> Iterator[bytes]:
     """The lines that start in a range, without their ends; empty lines are left out."""
     with files.open_input_file(part.path) as file:
@@ -160,7 +169,9 @@ class TailReader(DataSourceStreamReader):
         files, pattern = open_folder(self.pattern)
         where: dict[str, str] | None = None
         parts: list[FileRange] = []
-        for path, name, low, high in new_ranges(start, end):
+        ranges = new_ranges(start, end)
+        split = range_bytes(ranges, self.split)
+        for path, name, low, high in ranges:
             # A batch that is repeated may find its file under another name.
             if files.get_file_info(path).type != fs.FileType.File or fingerprint(files, path) != name:
                 if where is None:
@@ -168,7 +179,7 @@ class TailReader(DataSourceStreamReader):
                 if name not in where:
                     raise FileNotFoundError(f"{path} went before bytes {low} to {high} of it were read")
                 path = where[name]
-            parts += cut_ranges(path, low, high, self.split)
+            parts += cut_ranges(path, low, high, split)
         return parts
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:

@@ -102,6 +102,16 @@ def test_ranges_between_two_snapshots():
     assert tail.new_ranges({"a": ["A", 10]}, {"a": ["A", 6]}) == [("a", "A", 0, 6)]
 
 
+def test_a_large_batch_is_not_a_task_for_every_few_lines(tmp_path):
+    log = tmp_path / "app.jsonl"
+    append(log, *[event(n) for n in range(4000)])
+    reader = tail.TailReader({"path": str(log), "splitBytes": "64"})
+    parts = reader.partitions({}, reader.latestOffset())
+    assert 100 < len(parts) <= 260
+    assert parts[0].low == 0 and parts[-1].high == log.stat().st_size
+    assert all(a.high == b.low for a, b in zip(parts, parts[1:]))
+
+
 def test_a_repeated_batch_finds_its_file_under_the_new_name(tmp_path):
     log = tmp_path / "app.jsonl"
     append(log, event(1))
