@@ -28,22 +28,15 @@ def _kept(name: str) -> Column:
     return F.max(name) if name == "_utm" else F.min(name)
 
 
-def session_attribution(curated: DataFrame, slice_unit: str = "minute") -> DataFrame:
-    """Browser events with the attribution in force at each of them.
-
-    ``attr_campaign`` is the last campaign so far in the session,
-    ``attr_referrer`` the first referrer, ``first_seen_ts`` the time of the first
-    campaign.
+def carried_along(timed: DataFrame, slice_unit: str = "minute") -> DataFrame:
+    """Rows with a time (session_id, event_ts, utm_campaign, referrer and others), and what is in force at each of them.
 
     A session may hold a third of all events, so its history is cut into time
     slices: state runs inside each slice, and the state at the end of earlier
     slices is carried in from one summary row per slice. A task sorts one slice
-    of events or one session's slices, never all events of a session. Events
-    without a time have their own values only and take no part in the windows.
+    of events or one session's slices, never all events of a session.
     """
     evidence = _evidence()
-    browsed = client_events(curated)
-    timed = browsed.filter(F.col(TIME).isNotNull())
     events = timed.withColumns({**evidence, SLICE: F.date_trunc(slice_unit, TIME)})
 
     inside = (
@@ -58,12 +51,24 @@ def session_attribution(curated: DataFrame, slice_unit: str = "minute") -> DataF
     carried = ends.select(SESSION, SLICE, *[_kept(n).over(before).alias(f"{n}_in") for n in evidence])
 
     joined = local.join(carried, [SESSION, SLICE], "left")
-    with_time = joined.select(
-        *curated.columns,
+    return joined.select(
+        *timed.columns,
         F.greatest("_utm", "_utm_in")["text"].alias("attr_campaign"),
         F.least("_ref", "_ref_in")["text"].alias("attr_referrer"),
         F.least("_since", "_since_in").alias("first_seen_ts"),
     )
+
+
+def session_attribution(curated: DataFrame, slice_unit: str = "minute") -> DataFrame:
+    """Browser events with the attribution in force at each of them.
+
+    ``attr_campaign`` is the last campaign so far in the session,
+    ``attr_referrer`` the first referrer, ``first_seen_ts`` the time of the first
+    campaign. Events without a time have their own values only and take no part
+    in the windows.
+    """
+    browsed = client_events(curated)
+    with_time = carried_along(browsed.filter(F.col(TIME).isNotNull()), slice_unit)
     without = browsed.filter(F.col(TIME).isNull()).select(
         *curated.columns,
         F.col("utm_campaign").alias("attr_campaign"),

@@ -1,168 +1,61 @@
 """Attribution of browser events as they arrive, in any order.
 
 The attribution of an event depends on its session and time alone: the last campaign
-up to then, the first referrer, the time of the first campaign. State for each session
-holds its instants (time, campaign, referrer, and what was told about it last). New
-events are put in their places, the instants from the earliest new one on are worked
-out again, and those whose attribution is new or has changed are told, with the batch
-as version. So an event that comes late corrects the events after it. The reader takes
-the newest attribution of each instant.
-
-State is bounded by ``horizon``: a timer at the watermark, which stays that far behind
-the newest event, folds older instants into one summary of the session. Events older
-than that are no longer taken in by the stream (Spark leaves them out), and correct
-nothing; the reader still shows them, with their own values. A session that has been
-silent for ``horizon`` beyond that is forgotten.
+up to then, the first referrer, the time of the first campaign. What a session says at
+an instant (the greatest campaign and the smallest referrer of its events then) is
+state of its own, so a session with a third of all events is spread over all tasks, and
+an event costs the same however many its session has. Each batch stores the instants
+that are new or have changed, with the batch as version. The reader takes the newest of
+each instant and carries them along the session in time slices, as in batch; so an event
+that comes late corrects the events after it.
+
+State is bounded by ``horizon``: Spark forgets instants behind the watermark, which stays
+that far behind the newest event. Events older than that are no longer taken in by the
+stream (Spark leaves them out), and correct nothing; the reader still shows them, with
+their own values. What was stored stays in force, however long a session is silent.
 """
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from gatetally import schemas as S
+from gatetally.operators.attribution import SESSION, TIME, carried_along
 from gatetally.operators.curate import client_events
 from gatetally.streaming.sinks import latest_metrics, upsert_metrics
 
-SESSION, TIME = "session_id", "event_ts"
 _STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-#: Times are whole microseconds since 1970.
-TOLD = T.StructType(
-    [T.StructField(SESSION, T.StringType()), T.StructField("at", T.LongType())]
-    + [T.StructField(c, T.StringType()) for c in ("attr_campaign", "attr_referrer")]
-    + [T.StructField("first_seen", T.LongType())]
-)
-_INSTANT = "campaign string, referrer string, attr_campaign string, attr_referrer string, first_seen long"
-_SUMMARY = "campaign string, referrer string, first_seen long"
-
-Instant = tuple[str | None, str | None]
-Attribution = tuple[str | None, str | None, int | None]
-
-
-def joined(a: Instant, b: Instant) -> Instant:
-    """Two events of one instant: the greatest campaign and the smallest referrer."""
-    campaigns, referrers = ([x for x in pair if x is not None] for pair in zip(a, b, strict=True))
-    return max(campaigns, default=None), min(referrers, default=None)
-
-
-def carried(before: Attribution, at: int, here: Instant) -> Attribution:
-    """What holds at an instant, from what held before it."""
-    campaign, referrer, since = before
-    if here[0] is not None:
-        campaign, since = here[0], at if since is None else since
-    return campaign, referrer if referrer is not None else here[1], since
-
-
-class SessionState(StatefulProcessor):
-    """Instants of a session within the horizon, and a summary of those before."""
-
-    def __init__(self, horizon_ms: int):
-        self.horizon_ms = horizon_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.instants = handle.getMapState("instants", "at long", _INSTANT)
-        self.summary = handle.getValueState("summary", _SUMMARY)
+INSTANTS = T.StructType([S.CLICK_CURATED[c] for c in (SESSION, TIME, "utm_campaign", "referrer")])
 
-    def _before(self) -> Attribution:
-        return tuple(self.summary.get()) if self.summary.exists() else (None, None, None)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new: dict[int, Instant] = {}
-        for frame in rows:
-            texts = frame[["utm_campaign", "referrer"]].astype(object)
-            cells = texts.where(texts.notna(), None)
-            for at, here in zip(frame["at"], zip(*(cells[c] for c in cells), strict=True), strict=True):
-                new[at] = joined(new[at], here) if at in new else here
-        known = {k[0]: tuple(v) for k, v in self.instants.iterator()}
-        told = []
-        first, state = min(new), self._before()
-        for at in sorted({*known, *new}):
-            old = known.get(at)
-            here = (old[0], old[1]) if old else (None, None)
-            if at in new:
-                here = joined(here, new[at])
-            state = carried(state, at, here)
-            if at < first:
-                continue
-            if old is None or old != (*here, *state):
-                self.instants.updateValue((at,), (*here, *state))
-                if old is None or old[2:] != state:
-                    told.append((key[0], at, *state))
-        self._set_timer(max({*known, *new}))
-        if told:
-            frame = pd.DataFrame(told, columns=TOLD.fieldNames())
-            yield frame.astype({"first_seen": "Int64"})
-
-    def _set_timer(self, newest: int) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(newest // 1000 + self.horizon_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """The watermark is past the session's last event: fold it, and forget it a horizon later."""
-        known = sorted((k[0], tuple(v)) for k, v in self.instants.iterator())
-        if known:
-            self.summary.update(known[-1][1][2:])
-            self.instants.clear()
-            self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + self.horizon_ms)
-        else:
-            self.summary.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def attribution_updates(curated: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """What changes about the attribution of a session's instants, as a stream of :data:`TOLD`."""
+def instant_updates(curated: DataFrame, horizon: str = "1 hour") -> DataFrame:
+    """What sessions say at the instants that events have arrived for, as a stream of :data:`INSTANTS`."""
     spark = curated.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     events = client_events(curated).filter(F.col(TIME).isNotNull()).withWatermark(TIME, horizon)
-    cells = events.select(SESSION, TIME, F.unix_micros(TIME).alias("at"), "utm_campaign", "referrer")
-    return cells.groupBy(SESSION).transformWithStateInPandas(
-        statefulProcessor=SessionState(_milliseconds(horizon)),
-        outputStructType=TOLD,
-        outputMode="Update",
-        timeMode="EventTime",
-    )
-
-
-#: Fixed value: milliseconds of the units a horizon may have.
-_UNITS = {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
-
-
-def _milliseconds(horizon: str) -> int:
-    """``10 minutes`` in milliseconds."""
-    number, unit = horizon.split()
-    return int(number) * _UNITS[unit.rstrip("s")]
+    campaign, referrer = F.max("utm_campaign").alias("utm_campaign"), F.min("referrer").alias("referrer")
+    return events.groupBy(SESSION, TIME).agg(campaign, referrer)
 
 
 def store_attribution(
     curated: DataFrame, path: str, checkpoint: str, horizon: str = "1 hour", every: str | None = None
 ) -> StreamingQuery:
-    """Keep the attribution of every instant that has arrived; see :func:`attributed`."""
-    return upsert_metrics(attribution_updates(curated, horizon), path, checkpoint, every)
+    """Keep what is needed to attribute every event that has arrived; see :func:`attributed`."""
+    return upsert_metrics(instant_updates(curated, horizon), path, checkpoint, every)
 
 
 def attributed(spark: SparkSession, path: str, curated: DataFrame) -> DataFrame:
-    """Browser events of ``curated`` with the newest stored attribution of their instant.
+    """Browser events of ``curated`` with the attribution of their instant by all that was stored.
 
     Events without a time, and those that came too late for the stream, have their
     own values.
     """
-    told = latest_metrics(spark, path, TOLD, [SESSION, "at"])
-    events = client_events(curated).withColumn("at", F.unix_micros(TIME))
-    named = told.select(
-        SESSION,
-        "at",
-        F.struct("attr_campaign", "attr_referrer", F.timestamp_micros("first_seen").alias("first_seen_ts")).alias("told"),
-    )
+    told = carried_along(latest_metrics(spark, path, INSTANTS, [SESSION, TIME]))
+    named = told.select(SESSION, TIME, F.struct("attr_campaign", "attr_referrer", "first_seen_ts").alias("told"))
     found, own = F.col("told").isNotNull(), F.lit(None).cast("timestamp")
-    return events.join(named, [SESSION, "at"], "left").select(
+    return client_events(curated).join(named, [SESSION, TIME], "left").select(
         *curated.columns,
         F.when(found, F.col("told.attr_campaign")).otherwise(F.col("utm_campaign")).alias("attr_campaign"),
         F.when(found, F.col("told.attr_referrer")).otherwise(F.col("referrer")).alias("attr_referrer"),

@@ -235,6 +235,27 @@ def test_a_silent_session_is_folded_and_goes_on_from_its_summary(spark, clicks,
     assert told(visits.attributed(spark, path, everything)) == told(attribution.session_attribution(everything))
 
 
+def test_a_session_silent_for_long_keeps_what_it_knew(spark, clicks, tmp_path):
+    from datetime import datetime, timedelta
+
+    from gatetally.session import stream_session
+
+    def at(minutes, session, **more):
+        seen = datetime(2024, 1, 1) + timedelta(minutes=minutes)
+        return {"session_id": session, "source": "client", "event_ts": seen} | more
+
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "told", "checkpoint"))
+    steps = [[at(0, "a", utm_campaign="c1", referrer="r1")], *[[at(m, "b")] for m in (60, 120, 180)], [at(182, "a")]]
+    for step in steps:
+        clicks(*step).coalesce(1).write.mode("append").parquet(source)
+        stream = stream_session(spark).readStream.schema(S.CLICK_CURATED).parquet(source)
+        visits.store_attribution(stream, path, checkpoint, "10 minutes").awaitTermination()
+    everything = spark.read.schema(S.CLICK_CURATED).parquet(source)
+    found = told(visits.attributed(spark, path, everything))
+    assert found == told(attribution.session_attribution(everything))
+    assert [r[3] for r in found if r[0] == "a"] == ["c1", "c1"]
+
+
 def test_stored_endpoint_counts_merge(spark, clicks, tmp_path):
     from datetime import datetime
 
