@@ -50,6 +50,16 @@ def test_toxicity_does_not_learn_from_held_out_labels(spark, labelled):
     assert both[0] == both[1]
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, labelled):
+    """The rarer class does not limit what is learnt of the other one."""
+    docs, labels = labelled
+    model, _ = toxicity.learn(docs, labels)
+    used = docs.join(labels, "doc_id").where(~toxicity.held_out(F.col("doc_id")))
+    words = {r["toxic"]: r["n"] for r in used.groupBy("toxic").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    # Strings that begin a word are counted as they are, so the blank's total is the number of words.
+    assert [model.value.own[0].contexts.values[c].max() for c in (0, 1)] == [words[0], words[1]]
+
+
 def test_toxicity_without_labels(spark, labelled, empty):
     docs, labels = labelled
     assert toxicity.toxicity(empty, labels).count() == 0
