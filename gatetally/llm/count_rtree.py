@@ -18,13 +18,17 @@ component.
    leaves out pairs of boxes whose bound is below the overlap that a link needs.
 4. Round one takes for each node one partner in each bucket, the one of least hash
    among those in the upper half of its bounds (so that buckets agree on it), and
-   bounds it again by ``FINE`` groups. Round two, over all nodes with a partner in the tree
+   bounds it again by ``FINE`` groups. It is not told where the two also meet in a bucket
+   of a lesser token, by the first ``LEADS`` tokens that each shares with others: the node
+   has told a partner there. Round two, over all nodes with a partner in the tree
    (whether or not the one taken passed the finer bound) and with ``FINE`` groups,
    takes for any two components of round one's links the best pair that passes in a
    bucket. Round three takes all pairs that still pass between different components.
    In a group of thousands of near copies nearly all pairs are joined before round
    three, so it is not all pairs of a group that are made, and no link is left out.
-   All are verified on their texts.
+   These rounds too take a pair only in the first bucket where its leads meet, and read
+   only buckets that still have different components. All are verified on their texts.
+   Buckets are chosen by tokens and nodes alone; points come to the rows that are left.
 
 Buckets of more than ``BLOCK`` rows are cut into blocks: round one looks into
 each block, the later rounds into each pair of blocks, as separate rows of the
@@ -45,6 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +64,8 @@ WORDS, PERCENT = 4, 85
 GROUPS, FINE = 64, 256
 #: Rows of a bucket that may meet in one task, entries of a box, characters taken at once.
 BLOCK, FAN, CHUNK = 4000, 32, 1_500_000
+#: Tokens of a node, the least of those it shares, by which pairs that meet before are known.
+LEADS = 4
 #: Buckets of the frequency table; those above this many times the mean count of a task are frequent,
 #: if it met them so often at least: few texts in a task say nothing about a shingle.
 SKETCH_BITS, FREQUENT, OFTEN = 20, 4, 16
@@ -112,15 +119,27 @@ class Sets:
 
 
 def packed(points: np.ndarray) -> list[bytes]:
-    """Points in the least width that holds them."""
-    small = points.max(1, initial=0) < 256
-    return [p.astype(np.uint8 if s else "<u4").tobytes() for p, s in zip(points, small, strict=True)]
+    """Points in the least width that holds them: four bits, a byte or four for each count."""
+    most = points.max(1, initial=0)
+    bytes_ = points.astype(np.uint8)
+    half = bytes_[:, ::2] | bytes_[:, 1::2] << 4
+    return [
+        (h if m < 16 else b if m < 256 else p.astype("<u4")).tobytes()
+        for h, b, p, m in zip(half, bytes_, points, most.tolist(), strict=True)
+    ]
 
 
 def unpacked(raw: list[bytes], groups: int) -> np.ndarray:
-    if all(len(r) == groups for r in raw):
-        return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, groups).astype(np.int32)
-    return np.stack([np.frombuffer(r, np.uint8 if len(r) == groups else "<u4").astype(np.int32) for r in raw])
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    out = np.empty((len(raw), groups), np.int32)
+    for width in np.unique(size).tolist():
+        at = np.flatnonzero(size == width)
+        data = np.frombuffer(b"".join([raw[i] for i in at.tolist()]), "<u4" if width > groups else np.uint8).reshape(len(at), -1)
+        if width < groups:
+            out[at, ::2], out[at, 1::2] = data & 15, data >> 4
+        else:
+            out[at] = data
+    return out
 
 
 def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -258,10 +277,10 @@ class Bucket:
     def __init__(self, table: pa.Table, groups: int):
         get = lambda c: table.column(c).to_numpy()
         self.node, self.n, self.label, self.part = (get(c) for c in ("node", "n", "label", "part"))
-        self.cut = get("parts") > 1
         self.points = unpacked(table.column("point").to_pylist(), groups)
+        self.lead = table.column("lead").combine_chunks().flatten().to_numpy().reshape(-1, LEADS)
         token, lo, hi = (get(c) for c in ("token", "lo", "hi"))
-        self.apart = lo != hi
+        self.token, self.apart = token, lo != hi
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
         self.first = np.flatnonzero(new)
@@ -273,6 +292,11 @@ class Bucket:
             ok = (self.label[i] != self.label[j]) & (~self.apart[i] | (self.part[i] != self.part[j]))
             yield i[ok], j[ok], bound[ok]
 
+    def met(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether rows of one bucket have a lead in common that comes before its token."""
+        before = self.lead[i] < self.token[i][:, None]
+        return ((self.lead[i][:, :, None] == self.lead[j][:, None, :]) & before[:, :, None]).any((1, 2))
+
     def _passing(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for m in range(2, 9):  # small buckets of one size together: one box each
             first = self.first[self.count == m]
@@ -300,7 +324,12 @@ def _candidate_batches(pick: str, percent: int, groups: int):
 
     def found(table: pa.Table) -> pa.RecordBatch:
         rows = Bucket(table, groups)
-        parts = [x for x in rows.pairs(percent) if len(x[0])]
+        parts = []
+        for i, j, bound in rows.pairs(percent):
+            # For NODES the choice comes first: a node's partner is left out only where it has told one before.
+            new = np.ones(len(i), bool) if pick == NODES else ~rows.met(i, j)
+            if new.any():
+                parts.append((i[new], j[new], bound[new]))
         none = np.zeros(0, np.int64)
         i, j, bound = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (none, none, none)
         share = bound / needed(rows.n[i], rows.n[j], percent)
@@ -324,10 +353,8 @@ def _candidate_batches(pick: str, percent: int, groups: int):
             new = np.ones(len(i), bool)
             new[1:] = i[1:] != i[:-1]
             i, j = i[new], j[new]
-        if pick == NODES:
-            # A node of a bucket in several blocks is paired with itself, so that the later rounds have it.
-            cut = np.flatnonzero(rows.cut)
-            i, j = np.concatenate([i, cut]), np.concatenate([j, cut])
+            new = ~rows.met(i, j)
+            i, j = i[new], j[new]
         u, v = np.minimum(rows.node[i], rows.node[j]), np.maximum(rows.node[i], rows.node[j])
         pair = np.unique(np.stack([u, v], 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["u", "v"])
@@ -376,11 +403,13 @@ def _verify_batches(percent: int, words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [batch.column(c).to_pylist() for c in ("text_u", "text_v")]
+            both = [batch.column(c) for c in ("text_u", "text_v")]
             keep = []
-            for a, b in chunks([x + y for x, y in zip(*both, strict=True)], CHUNK):
+            ends = np.cumsum([sum(x) for x in zip(*(pc.binary_length(c).to_pylist() for c in both), strict=True)])
+            cuts = [*np.flatnonzero(np.diff(ends // CHUNK, prepend=-1)).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 distinct: dict[str, int] = {}
-                at = [[distinct.setdefault(t, len(distinct)) for t in side[a:b]] for side in both]
+                at = [[distinct.setdefault(t, len(distinct)) for t in side.slice(a, b - a).to_pylist()] for side in both]
                 sets = Sets(list(distinct), words)
                 for x, y in zip(*at, strict=True):
                     p, q = sets.of(x), sets.of(y)
@@ -392,40 +421,64 @@ def _verify_batches(percent: int, words: int):
     return run
 
 
-def _candidates(
-    shared: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, pick: str
-) -> DataFrame:
-    """Distinct pairs (u, v) of nodes (node, n, point, label) that share a token, differ in label and pass the bound.
+def _crowded(rows: DataFrame, block: int) -> DataFrame:
+    """(token, m): the few tokens of more than ``block`` of the ``rows`` (token, node)."""
+    return rows.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > block)
 
-    Those that ``pick`` names; with ``NODES`` within each block, and (u, u) for nodes of buckets in several blocks.
-    """
-    rows = shared.join(nodes, "node")
-    crowd = rows.groupBy("token").agg(
-        F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    mixed_ = crowd.where("low <> high").select("token", F.ceil(F.col("m") / block).cast("int").alias("parts"))
-    dealt = rows.join(mixed_, "token").withColumn("part", F.pmod(F.xxhash64("node", "token"), "parts").cast("int"))
+
+def _told(rows: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, pick: str) -> DataFrame:
+    """The pairs of :func:`_candidates` as the buckets tell them; several may tell the same."""
+    parts = F.coalesce(F.ceil(F.col("m") / block), F.lit(1)).cast("int")
+    dealt = rows.join(F.broadcast(_crowded(rows, block)), "token", "left").select("token", "node", parts.alias("parts"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", "token"), "parts").cast("int"))
+    # Merged by node, not broadcast: equal points lie side by side in what goes to the buckets, and pack well.
+    dealt = dealt.join(nodes.hint("merge"), "node")
     if pick == NODES:
         dealt = dealt.withColumn("lo", F.col("part")).withColumn("hi", F.col("part"))
     else:
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         dealt = dealt.withColumn("other", other)
         dealt = dealt.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other"))
-    columns = ["token", "lo", "hi", "part", "parts", "node", "n", "label", "point"]
+    columns = ["token", "lo", "hi", "part", "node", "n", "label", "point", "lead"]
     keys = ["token", "lo", "hi"]
     in_order = dealt.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return in_order.mapInArrow(returning(_candidate_batches(pick, percent, groups)), "u long, v long").distinct()
+    return in_order.mapInArrow(returning(_candidate_batches(pick, percent, groups)), "u long, v long")
+
+
+def _candidates(
+    rows: DataFrame, nodes: DataFrame, percent: int, block: int, groups: int, pick: str
+) -> DataFrame:
+    """Distinct pairs (u, v) of nodes (node, n, point, lead, label) that share a token, differ in label and pass the bound.
+
+    Those that ``pick`` names; with ``NODES`` within each block.
+    """
+    return _told(rows, nodes, percent, block, groups, pick).distinct()
+
+
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of ``rows`` (token, node) those of nodes with a label whose token has several labels."""
+    named = rows.join(labels, "node")
+    ends = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return named.join(ends.where("low <> high").select("token"), "token").select("token", "node")
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs that pass by the finer points as well."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_bound_batches(percent), "u long, v long")
+    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(returning(_bound_batches(percent)), "u long, v long")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
+    """Of stored ``pairs`` those whose texts, of ``rows`` (doc, crc, text), link; no other texts are moved."""
+    sources = members.join(_ends(pairs), "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
+    sources = stored(sources.select("node", "row.doc", "row.crc"), "sources")
+    texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(_verify_batches(percent, words), "u long, v long")
+    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(returning(_verify_batches(percent, words)), "u long, v long")
 
 
 def row_name() -> tuple[Column, Column]:
@@ -449,38 +502,43 @@ def similar(
     frequent = spark.sparkContext.broadcast(table)
     prefixes = rows.mapInArrow(returning(_prefix_batches(frequent, SKETCH_BITS, percent, words)), "token long, node long")
     in_order = prefixes.repartition("token").sortWithinPartitions("token", "node")
-    shared = stored(in_order.mapInArrow(_shared_batches, "token long, node long"), "shared")
-    nodes = members.groupBy("node").agg(
+    shared = stored(in_order.mapInArrow(returning(_shared_batches), "token long, node long"), "shared")
+    points = members.groupBy("node").agg(
         F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine")
     )
-    alone = nodes.select("node", "n", "point", F.col("node").alias("label"))
+    tokens = shared.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    place = F.sequence(F.lit(0), F.lit(LEADS - 1))
+    lead = F.transform(place, lambda i: F.get("tokens", F.least(i, F.size("tokens") - 1)))
+    nodes = stored(points.join(tokens.select("node", lead.alias("lead")), "node"), "nodes")
+    alone = nodes.select("node", "n", "point", "lead", F.col("node").alias("label"))
     first = stored(_candidates(shared, alone, percent, block, GROUPS, NODES), "pairs")
-    # A node with any partner in the tree, or of a bucket in several blocks, is in a pair here, before the finer bound;
-    # only those need their texts.
-    used = first.select(F.col("u").alias("node")).unionByName(first.select(F.col("v").alias("node"))).distinct()
-    sources = members.join(used, "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
-    sources = sources.select("node", "row.doc", "row.crc")
-    texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    links = stored(_verified(_bounded(first.where("u <> v"), nodes, percent), texts, percent, words), "links")
-    labels = components(links)
-    joined_nodes = used.join(nodes, "node").join(labels, "node", "left").select(
-        "node", "n", F.col("fine").alias("point"), F.coalesce("label", "node").alias("label")
-    )
-    joined_nodes = stored(joined_nodes, "nodes")
+    # A node with any partner in the tree is in a pair here, before the finer bound; one of a bucket in several
+    # blocks may not have met its partners.
+    cut = shared.join(F.broadcast(_crowded(shared, block)), "token").select("node")
+    used = _ends(first).unionByName(cut).distinct()
+    tried = stored(_bounded(first, nodes, percent), "tried")
+    links = stored(_verified(tried, rows, members, percent, words), "links")
+    labels = used.join(components(links), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    labels = stored(labels, "labels")
+    left = shared
     for pick in (COMPONENTS, ALL):
-        more = _verified(_candidates(shared, joined_nodes, percent, block, FINE, pick), texts, percent, words)
-        joined_nodes = stored(_relabelled(joined_nodes, more), "nodes")
-    return members.select("doc", "crc", "node", "n"), joined_nodes.select("node", "label")
-
-
-def _relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``nodes`` with the labels of the components that ``links`` make of theirs; only labels go into the merging."""
-    end = lambda x, name: nodes.select(F.col("node").alias(x), F.col("label").alias(name))
+        left = stored(_mixed(left, labels), "mixed")
+        fine = nodes.select("node", "n", F.col("fine").alias("point"), "lead").join(labels, "node")
+        # What was tried before and has not linked will not now.
+        more = _candidates(left, fine, percent, block, FINE, pick).join(tried, ["u", "v"], "left_anti")
+        more = stored(more, "tried")
+        tried = tried.unionByName(more)
+        labels = stored(_relabelled(labels, _verified(more, rows, members, percent, words)), "labels")
+    return members.select("doc", "crc", "node", "n"), labels
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after ``links`` join components of theirs; only labels go into the merging."""
+    end = lambda x, name: labels.select(F.col("node").alias(x), F.col("label").alias(name))
     across = links.join(end("u", "a"), "u").join(end("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
     merged = components(stored(across.distinct(), "across"))
     merged = merged.select(F.col("node").alias("label"), F.col("label").alias("last"))
-    joined_ = nodes.join(merged, "label", "left")
-    return joined_.select("node", "n", "point", F.coalesce("last", "label").alias("label"))
+    return labels.join(merged, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
 
 
 def _labelled(docs: DataFrame, percent: int, block: int, words: int = WORDS) -> DataFrame:
@@ -509,12 +567,15 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, wor
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc", "crc")).alias("row"))
     doc, crc = row_name()
     mine = docs.withColumns({"_doc": doc, "_crc": crc})
-    keys = first.select(F.col("row.doc").alias("_doc"), F.col("row.crc").alias("_crc"), F.lit(False).alias("_empty"))
-    blank = rows.where("label is null").select(F.col("doc").alias("_doc"), F.col("crc").alias("_crc")).distinct()
-    kept = mine.join(keys.unionByName(blank.withColumn("_empty", F.lit(True))), ["_doc", "_crc"])
-    # Of rows that are equal in doc_id and text, one stays.
+    keys = first.select("row.doc", "row.crc", F.lit(False).alias("_empty"))
+    blank = rows.where("label is null").select("doc", "crc").distinct()
+    names = keys.unionByName(blank.withColumn("_empty", F.lit(True)))
+    names = names.join(rows.groupBy("doc", "crc").agg(F.count("*").alias("_rows")), ["doc", "crc"])
+    kept = mine.join(stored(names.withColumnsRenamed({"doc": "_doc", "crc": "_crc"}), "names"), ["_doc", "_crc"])
+    # Of rows that are equal in doc_id and text, one stays; only such rows are brought together.
     turn = F.row_number().over(Window.partitionBy("_doc", "_crc").orderBy("_empty"))
-    return kept.withColumn("_turn", turn).where("_empty or _turn = 1").select(*docs.columns)
+    several = kept.where("_rows > 1").withColumn("_turn", turn).where("_empty or _turn = 1")
+    return kept.where("_rows = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def op4_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,35 @@ def test_candidates_of_a_group_of_near_copies_grow_with_its_rows(spark, monkeypa
     assert counts[1] <= 8 * counts[0]
 
 
+def test_a_pair_is_told_in_few_of_the_buckets_where_it_meets(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(5000)]
+    bases = [prose(rng, words, 200).split() for _ in range(20)]
+    rows = []
+    for k in range(400):
+        copy = list(bases[k % 20])
+        copy[rng.randrange(200)] = rng.choice(words)
+        rows.append((k, " ".join(copy), None, None, 1))
+    counts = []
+    told = count_rtree._told
+
+    def counted(*args):
+        pairs = shared.stored(told(*args), "told")
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(count_rtree, "_told", counted)
+    found = dict(rows_of(count_rtree.shingle_components(spark.createDataFrame(rows, SCHEMA)), "doc_id", "component_id"))
+    assert found == {k: k % 20 for k in range(400)}
+    assert counts[0] <= 2 * len(rows)
+
+
+def test_points_go_only_to_buckets_of_several_components(spark):
+    rows = spark.createDataFrame([(7, 1), (7, 2), (8, 1), (8, 3), (9, 2), (9, 4)], "token long, node long")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "node long, label long")
+    assert rows_of(count_rtree._mixed(rows, labels), "token", "node") == [(8, 1), (8, 3)]
+
+
 def test_all_components_of_variants_meet(spark):
     rng = random.Random(3)
     words = [f"w{k}" for k in range(400)]
