@@ -66,6 +66,8 @@ GROUPS, FINE = 64, 256
 BLOCK, FAN, CHUNK = 4000, 32, 1_500_000
 #: Tokens of a node, the least of those it shares, by which pairs that meet before are known.
 LEADS = 4
+#: Bits of the table that tells which texts may be asked for: 2 MB at most.
+NAME_BITS = 24
 #: Buckets of the frequency table; those above this many times the mean count of a task are frequent,
 #: if it met them so often at least: few texts in a task say nothing about a shingle.
 SKETCH_BITS, FREQUENT, OFTEN = 20, 4, 16
@@ -472,12 +474,26 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
 
 
+def _maybe_named(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` without nearly all that are not among ``names`` (doc, crc), by a table of ``1 << NAME_BITS`` bits.
+
+    What is shuffled to meet the names is then of their size, not of the corpus.
+    """
+    place = F.pmod(F.xxhash64("doc", "crc"), F.lit(1 << NAME_BITS))
+    cell, bit = F.floor(place / 32768).cast("int").alias("cell"), place % 32768
+    cells = names.select(cell, bit.alias("bit")).groupBy("cell").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    asked = rows.withColumns({"cell": cell, "bit": bit}).join(F.broadcast(cells), "cell")
+    return asked.where(F.getbit(byte, F.col("bit") % 8) == 1).select(*rows.columns)
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
     """Of stored ``pairs`` those whose texts, of ``rows`` (doc, crc, text), link; no other texts are moved."""
     sources = members.join(_ends(pairs), "node").groupBy("node").agg(F.min(F.struct("doc", "crc")).alias("row"))
     sources = stored(sources.select("node", "row.doc", "row.crc"), "sources")
-    texts = stored(rows.join(sources, ["doc", "crc"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
+    found = _maybe_named(rows, sources).join(sources.hint("merge"), ["doc", "crc"])
+    texts = stored(found.select("node", "text").dropDuplicates(["node"]), "texts")
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")).hint("merge")
     return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(returning(_verify_batches(percent, words)), "u long, v long")
 
 
@@ -567,15 +583,12 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, wor
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct("doc", "crc")).alias("row"))
     doc, crc = row_name()
     mine = docs.withColumns({"_doc": doc, "_crc": crc})
-    keys = first.select("row.doc", "row.crc", F.lit(False).alias("_empty"))
-    blank = rows.where("label is null").select("doc", "crc").distinct()
-    names = keys.unionByName(blank.withColumn("_empty", F.lit(True)))
-    names = names.join(rows.groupBy("doc", "crc").agg(F.count("*").alias("_rows")), ["doc", "crc"])
-    kept = mine.join(stored(names.withColumnsRenamed({"doc": "_doc", "crc": "_crc"}), "names"), ["_doc", "_crc"])
-    # Of rows that are equal in doc_id and text, one stays; only such rows are brought together.
+    keys = first.select(F.col("row.doc").alias("_doc"), F.col("row.crc").alias("_crc"), F.lit(False).alias("_empty"))
+    blank = rows.where("label is null").select(F.col("doc").alias("_doc"), F.col("crc").alias("_crc")).distinct()
+    kept = mine.join(keys.unionByName(blank.withColumn("_empty", F.lit(True))), ["_doc", "_crc"])
+    # Of rows that are equal in doc_id and text, one stays.
     turn = F.row_number().over(Window.partitionBy("_doc", "_crc").orderBy("_empty"))
-    several = kept.where("_rows > 1").withColumn("_turn", turn).where("_empty or _turn = 1")
-    return kept.where("_rows = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
+    return kept.withColumn("_turn", turn).where("_empty or _turn = 1").select(*docs.columns)
 
 
 def op4_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,3 +141,11 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     with pytest.raises(ValueError, match="checkpoint"):
         shared.shared_folder(Session(), "x")
     assert shared.shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_only_texts_that_may_be_asked_for_are_moved(spark):
+    rows = spark.range(3000).selectExpr("id as doc", "id % 7 as crc", "string(id) as text")
+    names = rows.where("doc % 10 = 3").select("doc", "crc")
+    found = {r["doc"] for r in count_rtree._maybe_named(rows, names).collect()}
+    assert found >= set(range(3, 3000, 10)) and len(found) <= 310
+    assert count_rtree._maybe_named(rows, names.limit(0)).count() == 0
