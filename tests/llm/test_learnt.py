@@ -2,7 +2,10 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +108,42 @@ def test_pipeline_stages(spark, corpus, sf_dir):
     assert counts[0] > counts[1] > counts[2] == counts[3] >= counts[4] == counts[5] > 0
     assert docs.columns == ["doc_id", "n_tokens", "ids", "roundtrip"]
     assert docs.where("n_tokens <> size(ids)").count() == 0
+
+
+def test_toxicity_remembers_words_from_task_to_task(monkeypatch):
+    """A worker asks the model once for each word, however many tasks it runs."""
+    asked = []
+
+    def ratios(self, letters):
+        n = int(letters.word[-1]) + 1 if len(letters.word) else 0
+        asked.append(n)
+        return np.full(n, 2.0)
+
+    monkeypatch.setattr(toxicity.Model, "ratios", ratios)
+    score = toxicity._scores(SimpleNamespace(value=toxicity.Model([], [])), (1.0, 0.0), "doc_id")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["one two", "", "two three two"]})
+    first, second = ([b.to_pydict() for b in score(iter([batch]))] for _ in range(2))
+    assert sum(asked) == 3
+    assert first == second
+    assert first[0]["mean_llr"] == [2.0, 0.0, 2.0]
+
+
+def test_toxicity_counts_symbols_of_unlabelled_rows(spark, labelled):
+    """The pass that counts the words of the classes also gives the shared counts."""
+    docs, labels = labelled
+    model, _ = toxicity.learn(docs, labels.where(F.col("doc_id") < 100))
+    # Symbols counted over all documents, labelled or not: the letters of all words, and a blank behind each.
+    symbols = docs.where(F.length("text") > 0).agg(F.sum(F.length("text") + 1)).first()[0]
+    assert model.value.shared[0].contexts.values[0].max() == symbols
+
+
+def test_table_finds_each_key_and_no_other():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 1000):
+        keys = np.unique(np.append(rng.integers(0, 1 << 64, n, np.uint64, endpoint=False), np.uint64(0) if n > 2 else []).astype(np.uint64))
+        values = rng.random(len(keys))
+        table = toxicity.Table(keys.view(np.int64), values)
+        top = np.array([(1 << 64) - 1], np.uint64)
+        asked = np.concatenate([keys, keys + np.uint64(1), top])
+        known = dict(zip(keys.tolist(), values.tolist(), strict=True))
+        assert table.values[0][table.find(asked)].tolist() == [known.get(k, 0.0) for k in asked.tolist()]
