@@ -20,6 +20,11 @@ The form of a word is its near word of largest count, if that is ``FACTOR`` time
 its own. Counts grow by that factor along a chain of forms, so chains are short;
 roots come by doubling.
 
+Every table that is joined grows with the vocabulary. Spark sizes them too low, as it
+counts neither the rows that ``explode`` adds nor what repeated words take outside of
+a compressed file; a join by sorting is therefore asked for wherever two of them meet,
+so that none of them goes to the driver.
+
 Defined results: null and empty texts have no words; a null ``doc_id`` counts as
 an empty name; repeated rows count each for themselves; ties of the largest count
 go to the smallest word in code-point order; an empty table gives no rows; other
@@ -69,6 +74,11 @@ def frequent_words(docs: DataFrame, least: int = LENGTH, count: int = COUNT, typ
     return counted.where(F.col("n") >= count)
 
 
+def _met(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Two tables of any size joined without a broadcast of either."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     """Rows (word, n, role, grows, size, a, b) with the hash of what lies outside the hole from a to b.
 
@@ -121,7 +131,7 @@ def near_pairs(words: DataFrame, pairs: int = PAIRS) -> DataFrame:
             (F.col("left") == 1) & (F.col("right") == 1)
         )
         meets = sizes.where(several).select("key", (F.col("left") * F.col("right") > pairs).alias("full"))
-        marked = stored(holes.join(meets, "key"), "holes")
+        marked = stored(_met(holes, meets, "key"), "holes")
         full = F.col("full") & (F.col("b") - F.col("a") > 1)
         few = marked.where(~full)
         left = few.where("role <> 'long'").select("key", "role", "word", "n")
@@ -132,7 +142,7 @@ def near_pairs(words: DataFrame, pairs: int = PAIRS) -> DataFrame:
             (F.col("role") == "equal") & (F.col("other") == "equal") & (F.col("word") < F.col("near"))
         )
         close = F.levenshtein("word", "near", 1) == 1
-        found.append(left.join(right, "key").where(sides & close).select("word", "n", "near", "near_n"))
+        found.append(_met(left, right, "key").where(sides & close).select("word", "n", "near", "near_n"))
         rest = marked.where(full)
         if rest.isEmpty():
             return reduce(DataFrame.unionByName, found).distinct()
@@ -144,9 +154,9 @@ def roots(forms: DataFrame) -> DataFrame:
     chain = stored(forms.select("word", F.col("form").alias("root")), "forms")
     while True:
         onward = chain.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        if chain.join(onward, "root", "left_semi").isEmpty():
+        if _met(chain, onward, "root", "left_semi").isEmpty():
             return chain
-        step = chain.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
+        step = _met(chain, onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"))
         chain = stored(step, "forms")
 
 
@@ -159,7 +169,7 @@ def variants(words: DataFrame, factor: int = FACTOR, pairs: int = PAIRS) -> Data
     # Of the largest count the smallest word: the least pair of (minus count, word).
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near")))
     near = once.unionByName(back).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    joined = words.join(near, "word", "left")
+    joined = _met(words, near, "word", "left")
     enough = -F.col("best.less") >= factor * F.col("n")
     out = stored(
         joined.select(
@@ -171,7 +181,7 @@ def variants(words: DataFrame, factor: int = FACTOR, pairs: int = PAIRS) -> Data
         ),
         "variants",
     )
-    rooted = out.join(roots(out.where("form IS NOT NULL")), "word", "left")
+    rooted = _met(out, roots(out.where("form IS NOT NULL")), "word", "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -86,6 +86,21 @@ def test_a_chunk_that_many_words_share_keeps_every_pair(spark):
     assert variants_of(spark, words, 50) == spelled(words)
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    plans = []
+    keep = spelling.stored
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return df
+
+    monkeypatch.setattr(spelling, "stored", lambda df, label: keep(planned(df), label))
+    words = spark.createDataFrame([("abcdef", 50), ("abcdeg", 5), ("abcdefg", 400), ("zyxwvu", 9)], "word string, n long")
+    assert planned(spelling.variants(words)).count() == 4
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 5
+    assert not [p for p in plans if "Broadcast" in p or "ShuffledHash" in p]
+
+
 def test_words_of_texts(spark, corpus):
     def expected(rows):
         n = Counter()
