@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,58 @@ def test_prefix_free_removal(corpus, hot):
     assert rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_cut(rows)
 
 
+@pytest.mark.parametrize(("hot", "rounds"), [(20_000, 1), (2, 3)])
+def test_prefix_free_removal_in_any_number_of_rounds(corpus, hot, rounds):
+    docs = corpus.select("doc_id", "text")
+    found = prefix_free.without_repeats(docs, hot=hot, rounds=rounds).select("row.doc_id", "*")
+    rows = [(r["doc_id"], r["text"]) for r in corpus.collect()]
+    assert rows_of(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_cut(rows)
+
+
+def test_rounds_share_the_phrases(corpus):
+    texts = [r["text"] or "" for r in corpus.collect()]
+    batch = pa.RecordBatch.from_pydict({"doc": range(len(texts)), "crc": [0] * len(texts), "text": texts})
+
+    def kept(*which):
+        tables = [b.to_pydict() for b in prefix_free._parse_batches(50, 16, *which)([batch])]
+        return Counter((a, e, d) for t in tables for a, e, d, n in zip(t["a"], t["e"], t["doc"], t["size"]) if n > 0)
+
+    parts = [kept(k, 3) for k in range(3)]
+    assert sum(parts, Counter()) == kept() and all(sum(p.values()) < 0.5 * sum(kept().values()) for p in parts)
+
+
+def test_settled_rounds_leave_no_shuffle_files(spark, corpus):
+    docs = corpus.select("doc_id", "text")
+    docs.count()
+
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f and f.endswith(".data")}
+
+    before = files()
+    cut = prefix_free.without_repeats(docs)
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert cut.count() == docs.count()
+
+
+@pytest.mark.parametrize("cut", [1, 2, 3, 50])
+def test_crowded_triggers_are_told_once_wherever_batches_end(cut):
+    rows = [(1, e, d, 0, 60) for e in (3, 4, 5) for d in (7, 8)]
+    rows += [(2, 3, 1, 0, 60), (3, 3, 1, 0, 60), (3, 9, 1, 0, 60), (4, 1, 5, 0, -9), (5, 1, 1, 0, 50), (5, 2, 1, 0, 50), (5, 3, 1, 0, 50)]
+
+    def batch(some):
+        return pa.RecordBatch.from_pydict(dict(zip(prefix_free._PHRASE_SCHEMA.names, zip(*some), strict=True)), prefix_free._PHRASE_SCHEMA)
+
+    out = [r for b in prefix_free._dictionary(2)(batch(rows[i : i + cut]) for i in range(0, len(rows), cut)) for r in b.to_pylist()]
+    assert sorted(r["a"] for r in out if r["size"] == 0) == [1, 5]
+    assert sorted((r["a"], r["e"]) for r in out if r["size"] > 0) == [(1, 3), (1, 4), (1, 5), (3, 3), (3, 9), (5, 1), (5, 2), (5, 3)]
+    assert sorted((r["a"], r["doc"], r["size"]) for r in out if r["size"] < 0) == [(1, 8, -60)] * 3 + [(4, 5, -9)]
+
+
 def test_cut_texts_keep_columns(corpus, empty):
     clash = corpus.withColumn("doc", F.lit(1)).withColumn("crc", F.lit("x")).withColumn("kept_text", F.lit(2))
     out = prefix_free.cut_texts(clash)
